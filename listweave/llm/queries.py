@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, toxicity
+from . import bpe, langid, licenses, merkle, toxicity
 from .common import table
 
 
@@ -23,5 +24,32 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identified(docs.select("doc_id", "text"), model).select("doc_id", held.alias("held_out"), "lang_pred", "score", "rejected")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op5_language)}
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.digests(docs, public_tokenizers.path("byte_bpe_50k.json")).drop("text")
+
+
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = merkle.with_next(docs).withColumn("next_text", F.coalesce("next_text", F.lit("")))
+    rows = rows.withColumn("n_chars", F.length("text").cast("long"))
+    rows = rows.withColumn("edited", merkle.edited(F.col("text"), F.col("n_chars"), F.col("next_text")))
+    for text, prefix in (("text", ""), ("edited", "edited_"), ("next_text", "next_")):
+        rows = merkle.fingerprinted(rows, text, prefix).withColumn(f"{prefix}phrases", merkle.phrases(F.col(text)))
+    near = lambda prefix: merkle.likeness(F.col("fingerprint"), F.col("phrases"), F.col(f"{prefix}fingerprint"), F.col(f"{prefix}phrases"))
+    changed = merkle.differing(F.col("sections"), F.col("tree"), F.col("edited_sections"), F.col("edited_tree"))
+    return rows.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
+        near("edited_").alias("near_edited"), near("next_").alias("near_next"),
+        F.size(changed).alias("paragraphs_changed"),
+    )
+
+
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    columns = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
+    return licenses.scanned(docs).select(*columns)
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op3_bpe, op5_language, op8_fingerprints, op10_licenses)}
 ORACLES: dict[str, str] = {}
