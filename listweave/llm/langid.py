@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import bounded_sample
-from .subword import Frozen, SubwordSoftmax, Vocabulary
+from .subword import Frozen, SubwordSoftmax, Vocabulary, blocks
 
 UND = "und"
 LETTER = re.compile(r"[^\W\d_]")
@@ -37,22 +37,27 @@ class LanguageModel:
     def __init__(self, names: list[str], frozen: Frozen | None, temperature: float = 1.0, reject: float = 0.0):
         self.names, self.frozen, self.temperature, self.reject = names, frozen, temperature, reject
 
-    def logits(self, text: str) -> np.ndarray:
-        rows = self.frozen.token_rows(text.lower().split())
-        return self.frozen.rows[rows].mean(axis=0) + self.frozen.bias if len(rows) else self.frozen.bias
-
-    def predict(self, texts) -> tuple[list[str], list[float]]:
+    def logits(self, texts: list[str]) -> np.ndarray:
+        """Mean of each text's words, plus the bias."""
+        rows = self.frozen.token_rows(texts)
+        out = np.tile(self.frozen.bias, (len(texts), 1))
+        full = [k for k, r in enumerate(rows) if len(r)]
+        if full:
+            sizes = np.array([len(rows[k]) for k in full])
+            sums = np.add.reduceat(self.frozen.rows[np.concatenate([rows[k] for k in full])], np.cumsum(sizes) - sizes)
+            out[full] += sums / sizes[:, None]
+        return out
+
+    def predict(self, texts: list) -> tuple[list[str], list[float]]:
         names, scores = [], []
-        for text in texts:
-            if self.frozen is None or text is None or not LETTER.search(text):
-                names.append(UND)
-                scores.append(0.0)
-                continue
-            z = self.logits(text) / self.temperature
-            p = np.exp(z - z.max())
-            p /= p.sum()
-            names.append(self.names[int(p.argmax())])
-            scores.append(float(p.max()))
+        for part in blocks(texts):
+            read = [t if self.frozen and t and LETTER.search(t) else None for t in part]
+            z = self.logits([t or "" for t in read]) / self.temperature if self.frozen else np.zeros((len(part), 1))
+            p = np.exp(z - z.max(axis=1, keepdims=True))
+            p /= p.sum(axis=1, keepdims=True)
+            for text, k, best in zip(read, p.argmax(axis=1).tolist(), p.max(axis=1).tolist()):
+                names.append(UND if text is None else self.names[k])
+                scores.append(0.0 if text is None else best)
         return names, scores
 
 
@@ -76,7 +81,7 @@ def fit(texts: list[str], langs: list[str], epochs: int = 4, seed: int = 11) ->
     out = LanguageModel(names, model.frozen())
     check = [i for i in (held if len(held) else order) if LETTER.search(texts[i])]
     if check:
-        z = np.stack([out.logits(texts[i]) for i in check])
+        z = out.logits([texts[i] for i in check])
         grid = np.geomspace(0.05, 20, 60)
         out.temperature = float(min(grid, key=lambda t: _loss(z / t, y[check])))
         p = np.exp(z / out.temperature - (z / out.temperature).max(axis=1, keepdims=True))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, licenses, merkle, toxicity
+from . import bpe, langid, licenses, merkle, minhash, toxicity
 from .common import table
 
 
@@ -29,6 +29,11 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(docs, public_tokenizers.path("byte_bpe_50k.json")).drop("text")
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     rows = merkle.with_next(docs).withColumn("next_text", F.coalesce("next_text", F.lit("")))
@@ -51,5 +56,5 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scanned(docs).select(*columns)
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op3_bpe, op5_language, op8_fingerprints, op10_licenses)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op3_bpe, op5_language, op7_near_duplicates, op8_fingerprints, op10_licenses)}
 ORACLES: dict[str, str] = {}

@@ -11,48 +11,57 @@ hashed once and then looked up.
 from __future__ import annotations
 
 import re
-import zlib
 
 import numpy as np
 
 PARTS = re.compile(r"[^\W_]+")
 #: Most words that a task remembers; beyond it the memory starts anew.
-MEMORY = 200_000
-
-
-def ngrams(token: str, buckets: int, sizes=(3, 4, 5)) -> list[int]:
-    """Hash buckets of the n-grams of a lower-cased token, ends marked."""
-    out = []
-    for part in PARTS.findall(token):
-        marked = f"<{part}>"
-        out.append(zlib.crc32(marked.encode()) % buckets)
-        for n in sizes:
-            out += [zlib.crc32(marked[i : i + n].encode()) % buckets for i in range(len(marked) - n + 1)]
-    return out
+MEMORY = 500_000
+
+
+_PRIME, _MIX = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15)
+
+
+def ngrams(tokens: list[str], buckets: int, sizes=(3, 4, 5)) -> tuple[np.ndarray, np.ndarray]:
+    """Hash buckets of the character n-grams of lower-cased tokens, and of their
+    whole words, with the ends of words marked: all of them in token order, and
+    how many each token has."""
+    marked = [f"<{'><'.join(parts)}>" if (parts := PARTS.findall(t)) else "" for t in tokens]
+    codes = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+    if not len(codes):
+        return np.zeros(0, dtype=np.int64), np.zeros(len(tokens), dtype=np.int64)
+    token = np.repeat(np.arange(len(tokens)), np.fromiter(map(len, marked), dtype=np.int64, count=len(marked)))
+    begins = np.flatnonzero(codes == ord("<"))
+    word = np.cumsum(codes == ord("<")) - 1
+    powers = np.cumprod(np.full(int(np.diff(np.append(begins, len(codes))).max()), _PRIME))
+    found = [(token[begins], np.add.reduceat(codes * powers[np.arange(len(codes)) - begins[word]], begins))]
+    for n in sizes:
+        if len(codes) >= n:
+            h = np.full(len(codes) - n + 1, n, dtype=np.uint64)
+            for k in range(n):
+                h = h * _PRIME + codes[k : len(codes) - n + 1 + k]
+            inside = word[: len(h)] == word[n - 1 :]
+            found.append((token[: len(h)][inside], h[inside]))
+    of = np.concatenate([t for t, _ in found])
+    h = np.concatenate([x for _, x in found])
+    h = ((h ^ (h >> np.uint64(29))) * _MIX >> np.uint64(20)) % np.uint64(buckets)
+    order = np.argsort(of, kind="stable")
+    return h[order].astype(np.int64), np.bincount(of, minlength=len(tokens))
 
 
 class Vocabulary:
     """Distinct tokens of the training sample, with their n-grams as one ragged array."""
 
     def __init__(self, texts: list[str], buckets: int):
-        self.ids: dict[str, int] = {}
-        grams: list[list[int]] = []
-        self.bags = []
-        for text in texts:
-            bag = []
-            for token in text.lower().split():
-                k = self.ids.get(token)
-                if k is None:
-                    found = ngrams(token, buckets)
-                    k = self.ids[token] = len(grams) if found else -1
-                    if found:
-                        grams.append(found)
-                if k >= 0:
-                    bag.append(k)
-            self.bags.append(np.asarray(bag, dtype=np.int64))
-        self.sizes = np.asarray([len(g) for g in grams], dtype=np.int64)
+        split = [t.lower().split() for t in texts]
+        tokens = list(dict.fromkeys(t for bag in split for t in bag))
+        self.grams, sizes = ngrams(tokens, buckets)
+        row = np.cumsum(sizes > 0) - 1
+        ids = {t: int(row[k]) if sizes[k] else -1 for k, t in enumerate(tokens)}
+        bags = [np.fromiter(map(ids.__getitem__, bag), dtype=np.int64, count=len(bag)) for bag in split]
+        self.bags = [bag[bag >= 0] for bag in bags]
+        self.sizes = sizes[sizes > 0]
         self.starts = np.concatenate([[0], np.cumsum(self.sizes)])
-        self.grams = np.asarray([x for g in grams for x in g], dtype=np.int64)
 
 
 def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -128,20 +137,37 @@ class Frozen:
     def __setstate__(self, state):
         self.__init__(*state)
 
-    def token_rows(self, tokens: list[str]) -> np.ndarray:
-        """Row numbers of the tokens in ``rows``; 0 for tokens without a letter or digit."""
-        new = set(tokens).difference(self.memory)
+    def token_rows(self, texts: list[str]) -> list[np.ndarray]:
+        """For each text the row numbers of its tokens in ``rows``, without the
+        tokens that have no letter or digit."""
+        split = [t.lower().split() for t in texts]
+        new = set().union(*split).difference(self.memory)
         if len(self.memory) + len(new) > MEMORY:
-            self.memory, self.rows, new = {}, np.zeros((1, len(self.bias))), set(tokens)
+            self.memory, self.rows, new = {}, np.zeros((1, len(self.bias))), set().union(*split)
         if new:
-            rows = [self.rows]
-            n = len(self.rows)
-            for token in new:
-                grams = ngrams(token, len(self.projected))
-                self.memory[token] = n if grams else 0
-                if grams:
-                    rows.append(self.projected[grams].mean(axis=0, dtype=np.float64, keepdims=True))
-                    n += 1
-            self.rows = np.concatenate(rows)
-        out = np.fromiter(map(self.memory.__getitem__, tokens), dtype=np.int64, count=len(tokens))
-        return out[out > 0]
+            new = list(new)
+            grams, sizes = ngrams(new, len(self.projected))
+            full = np.flatnonzero(sizes)
+            row = np.zeros(len(new), dtype=np.int64)
+            row[full] = len(self.rows) + np.arange(len(full))
+            self.memory.update(zip(new, row.tolist()))
+            if len(full):
+                starts = np.cumsum(sizes[full]) - sizes[full]
+                sums = np.add.reduceat(self.projected[grams], starts, axis=0, dtype=np.float64)
+                self.rows = np.concatenate([self.rows, sums / sizes[full][:, None]])
+        get = self.memory.__getitem__
+        rows = [np.fromiter(map(get, bag), dtype=np.int64, count=len(bag)) for bag in split]
+        return [r[r > 0] for r in rows]
+
+
+def blocks(texts: list, chars: int = 1 << 20):
+    """Runs of texts of about so many characters, so that memory follows the
+    longest text, not the batch."""
+    at, held = 0, 0
+    for k, text in enumerate(texts):
+        held += len(text or "")
+        if held > chars:
+            yield texts[at : k + 1]
+            at, held = k + 1, 0
+    if at < len(texts):
+        yield texts[at:]

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from .common import bounded_sample
-from .subword import Frozen, SubwordSoftmax, Vocabulary
+from .subword import Frozen, SubwordSoftmax, Vocabulary, blocks
 
 #: Tokens of a window.
 WINDOW = 24
@@ -69,22 +69,27 @@ class ToxicityModel:
     def __init__(self, frozen: Frozen | None, slope: float, offset: float):
         self.frozen, self.slope, self.offset = frozen, slope, offset
 
-    def raw(self, text: str | None) -> float:
-        """Logit of the most toxic window; 0 if there is nothing to read."""
-        rows = self.frozen.token_rows((text or "").lower().split())
-        if not len(rows):
-            return 0.0
-        starts = window_starts(len(rows))
-        window = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(rows))))
-        pairs = np.unique(window * len(self.frozen.rows) + rows)
-        window, gain = pairs // len(self.frozen.rows), self.frozen.rows[pairs % len(self.frozen.rows)]
-        sums = np.bincount(window, weights=gain[:, 1] - gain[:, 0])
-        return float((sums / (np.bincount(window) + NEUTRAL)).max() + self.frozen.bias[1] - self.frozen.bias[0])
-
-    def scores(self, texts) -> np.ndarray:
-        if self.frozen is None:
+    def raw(self, texts: list[str]) -> np.ndarray:
+        """Logit of each text's most toxic window; 0 if there is nothing to read."""
+        out = np.zeros(len(texts))
+        rows = self.frozen.token_rows(texts)
+        full = [k for k, r in enumerate(rows) if len(r)]
+        if not full:
+            return out
+        starts = [window_starts(len(rows[k])) for k in full]
+        first = np.cumsum([0] + [len(s) for s in starts])[:-1]
+        window = np.concatenate([np.repeat(np.arange(len(s)) + f, np.diff(np.append(s, len(rows[k])))) for k, s, f in zip(full, starts, first)])
+        n = len(self.frozen.rows)
+        pairs = np.unique(window * n + np.concatenate([rows[k] for k in full]))
+        window, gain = pairs // n, (self.frozen.rows[:, 1] - self.frozen.rows[:, 0])[pairs % n]
+        values = np.bincount(window, weights=gain) / (np.bincount(window) + NEUTRAL)
+        out[full] = np.maximum.reduceat(values, first) + self.frozen.bias[1] - self.frozen.bias[0]
+        return out
+
+    def scores(self, texts: list) -> np.ndarray:
+        if self.frozen is None or not len(texts):
             return np.zeros(len(texts))
-        z = np.array([self.raw(t) for t in texts], dtype=float)
+        z = np.concatenate([self.raw([t or "" for t in part]) for part in blocks(texts)])
         return 1 / (1 + np.exp(-np.clip(self.slope * z + self.offset, -30, 30)))
 
 
@@ -126,7 +131,7 @@ def fit(texts: list[str], labels: list[int], epochs: int = 10, seed: int = 7) ->
         model.epoch(vocabulary, chosen, targets, weight)
     out = ToxicityModel(model.frozen(), 1.0, 0.0)
     check = held if len(held) else order
-    out.slope, out.offset = logistic(np.array([out.raw(texts[i]) for i in check]), y[check].astype(float))
+    out.slope, out.offset = logistic(out.raw([texts[i] for i in check]), y[check].astype(float))
     return out
 
 
@@ -134,7 +139,8 @@ def learn(docs: DataFrame, labels: DataFrame, learnable, sample: int = SAMPLE) -
     """Fits on at most about ``sample`` labelled rows of each class among those
     that ``learnable`` (a condition on doc_id) admits."""
     known = labels.filter(F.col("toxic").isin(0, 1) & learnable).groupBy("doc_id").agg(F.max("toxic").alias("_toxic"))
-    rows = bounded_sample(known, "_toxic", "doc_id", sample).join(docs.select("doc_id", "text"), "doc_id")
+    chosen = bounded_sample(known, "_toxic", "doc_id", sample)  # at most about two samples of ids
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     found = rows.select("doc_id", "text", "_toxic").toPandas().sort_values(["doc_id", "text"], na_position="first")
     return fit(found["text"].where(found["text"].notna(), None).tolist(), found["_toxic"].tolist())
 
