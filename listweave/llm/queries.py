@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, licenses, merkle, minhash, toxicity
+from . import bpe, langid, licenses, merkle, minhash, toxicity, vectors
 from .common import table
 
 
@@ -50,11 +50,16 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = vectors.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return found.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     columns = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
     return licenses.scanned(docs).select(*columns)
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op3_bpe, op5_language, op7_near_duplicates, op8_fingerprints, op10_licenses)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op3_bpe, op5_language, op7_near_duplicates, op8_fingerprints, op9_vectors, op10_licenses)}
 ORACLES: dict[str, str] = {}
