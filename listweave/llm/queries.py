@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, licenses, merkle, minhash, toxicity, vectors
+from . import bpe, langid, licenses, merkle, minhash, packing, passages, toxicity, vectors
 from .common import table
 
 
@@ -24,11 +24,19 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identified(docs.select("doc_id", "text"), model).select("doc_id", held.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.digests(docs, public_tokenizers.path("byte_bpe_50k.json")).drop("text")
 
 
+def op6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
@@ -61,5 +69,5 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scanned(docs).select(*columns)
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op3_bpe, op5_language, op7_near_duplicates, op8_fingerprints, op9_vectors, op10_licenses)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_packing, op3_bpe, op5_language, op6_passages, op7_near_duplicates, op8_fingerprints, op9_vectors, op10_licenses)}
 ORACLES: dict[str, str] = {}
