@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, licenses, merkle, minhash, packing, passages, toxicity, vectors
+from . import bpe, langid, licenses, merkle, minhash, packing, passages, suffixes, toxicity, vectors
 from .common import table
 
 
@@ -17,6 +17,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (toxicity.crc_mod("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= toxicity.REJECT).cast("int").alias("predicted"))
 
 
+def op4_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.cut(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held = toxicity.crc_mod("doc_id", 5) == 0
@@ -69,5 +74,5 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scanned(docs).select(*columns)
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_packing, op3_bpe, op5_language, op6_passages, op7_near_duplicates, op8_fingerprints, op9_vectors, op10_licenses)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_packing, op3_bpe, op4_suffixes, op5_language, op6_passages, op7_near_duplicates, op8_fingerprints, op9_vectors, op10_licenses)}
 ORACLES: dict[str, str] = {}
