@@ -2,5 +2,16 @@
 
 from __future__ import annotations
 
+from listweave.operators import normalize
+from listweave.testview import SETTINGS, literal_timestamp, oracle, raw
+
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
+
+
+def _normalized(spark, sf_dir):
+    return normalize.normalized(raw(spark, sf_dir), SETTINGS, literal_timestamp())
+
+
+QUERIES["normalize"] = lambda s, d: _normalized(s, d).drop("description")
+ORACLES["normalize"] = oracle("SELECT * EXCLUDE (description) FROM listing_all")

@@ -7,20 +7,19 @@ from pyspark.sql import functions as F
 
 from listweave.functions.text import _col
 
-_FREE = r"(?iu)ingyenes|free|díjtalan|dijtalan"
-_AMOUNT = r"(?U)(\d[\d\s.]*)"
+# Words that mark a listing as free of charge.
+FREE_WORDS = ("ingyenes", "free", "díjtalan", "dijtalan")
 
 
 def parse_price(value: Column | str) -> Column:
     """STRUCT<price_min BIGINT, price_max BIGINT, is_free BOOLEAN>: a free word,
     or the smallest and largest amount; a single amount has no maximum."""
     c = F.coalesce(_col(value), F.lit(""))
-    runs = F.transform(
-        F.regexp_extract_all(c, F.lit(_AMOUNT), F.lit(1)),
-        lambda run: F.regexp_replace(run, r"(?U)\D", "").try_cast("bigint"),
-    )
+    # blanks and dots inside an amount go first, then digit groups stand alone
+    joined = F.regexp_replace(c, r"(?U)(?<=\d)[\s.]+(?=\d)", "")
+    runs = F.transform(F.split(joined, r"(?U)\D+"), lambda run: F.nullif(run, F.lit("")).try_cast("bigint"))
     amounts = F.filter(runs, lambda n: n.isNotNull())
-    free = c.rlike(_FREE)
+    free = F.lower(c).rlike("|".join(FREE_WORDS))
     many = F.size(amounts) > 1
     return F.struct(
         F.when(free, F.lit(0).cast("bigint")).otherwise(F.array_min(amounts)).alias("price_min"),

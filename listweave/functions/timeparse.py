@@ -1,8 +1,8 @@
 """Start/end text to local wall-clock time.
 
-Each accepted form is one anchored regex and a try_make_timestamp_ntz, so an
-impossible date is null rather than an error. The clock bit comes from the form
-that matched, never from the value.
+Each accepted form is rewritten to one delimited text, split once and built with
+try_make_timestamp_ntz, so an impossible date is null rather than an error. The
+clock bit comes from the form that matched, never from the value.
 """
 
 from __future__ import annotations
@@ -28,23 +28,26 @@ MONTHS = (
     "december",
 )
 
-_ISO_DATE = r"^(\d{4})-(\d{2})-(\d{2})$|^(\d{4})(\d{2})(\d{2})$"
-_ISO_WEEK = r"^(\d{4})-?W(\d{2})(?:-?([1-7]))?$"
+# Each form is rewritten to "year|month|day|hour|minute|second|fraction|offset"
+# by one replacement; a week form puts "W<week>" and the weekday for month and day.
+_DAY = {"extended": r"(\d{4})-(\d{2})-(\d{2})", "basic": r"(\d{4})(\d{2})(\d{2})"}
+_WEEK = {"extended": r"(\d{4})-(W\d{2})(?:-([1-7]))?", "basic": r"(\d{4})(W\d{2})([1-7])?"}
+_CLOCK = {
+    "extended": r"(\d{2})(?::(\d{2})(?::(\d{2})(?:[.,](\d{1,9})\d*)?)?)?",
+    "basic": r"(\d{2})(\d{2})(?:(\d{2})(?:[.,](\d{1,9})\d*)?)?",
+}
 _OFFSET = r"(Z|[+-]\d{2}(?::?\d{2}(?::?\d{2})?)?)?"
-_ISO_TIME = (
-    r"(?s)^(\d{4})-?(\d{2})-?(\d{2}).(\d{2})(?::?(\d{2})(?::?(\d{2})(?:[.,](\d{1,9})\d*)?)?)?"
-    + _OFFSET
-    + "$"
+_DOTTED = (r"(\d{4})\.\s+(\d{1,2})\.\s+(\d{1,2})\.", r"(\d{4})\.(\d{1,2})\.(\d{1,2})\.")
+_HOURS = r"\s+(\d{1,2}):(\d{1,2})"
+
+#: (pattern, rewritten, clock known?), tried in order.
+_FORMS = (
+    *((f"^{day}$", "$1|$2|$3|||||", False) for day in (*_DAY.values(), *_WEEK.values())),
+    *((f"(?s)^{day}.{clock}{_OFFSET}$", "$1|$2|$3|$4|$5|$6|$7|$8", True) for day in (*_DAY.values(), *_WEEK.values()) for clock in _CLOCK.values()),
+    *((f"(?U)^{day}$", "$1|$2|$3|||||", False) for day in _DOTTED),
+    *((f"(?U)^{day}{_HOURS}$", "$1|$2|$3|$4|$5|||", True) for day in _DOTTED),
+    (f"(?U)^{_DOTTED[0]}{_HOURS}:(\\d{{1,2}})$", "$1|$2|$3|$4|$5|$6||", True),
 )
-_DOTTED = (
-    r"(?U)^(\d{4})\.(?:\s+(\d{1,2})\.\s+(\d{1,2})|(\d{1,2})\.(\d{1,2}))\."
-    r"(?:\s+(\d{1,2}):(\d{1,2})(?::(\d{1,2}))?)?$"
-)
-_LONG = r"(?U)^(\d{4})\.\s+(\w+)\s+(\d{1,2})\.,\s+\w+\s+(\d{1,2}):(\d{2})$"
-
-
-def _group(c: Column, pattern: str, index: int) -> Column:
-    return F.regexp_extract(c, pattern, index)
 
 
 def _num(c: Column) -> Column:
@@ -52,92 +55,55 @@ def _num(c: Column) -> Column:
     return F.coalesce(c.try_cast("int"), F.lit(0))
 
 
-def _local(y: Column, mo: Column, d: Column, h: Column, mi: Column, s: Column) -> Column:
-    return F.try_make_timestamp_ntz(y, mo, d, h, mi, s)
+def _long_form(c: Column) -> Column:
+    """`2026. augusztus 15., szombat 19:30` rewritten like the other forms: the
+    text's shape is compared first, then its words are taken apart."""
+    spaced = F.regexp_replace(c, r"(?U)\s+", " ")
+    shape = F.regexp_replace(F.regexp_replace(spaced, r"(?U)\d+", "9"), r"(?U)[\w&&[^9]]+", "w")
+    parts = F.split(spaced, r"[ .,:]+")
+    month = F.array_position(F.array(*map(F.lit, MONTHS)), F.lower(F.get(parts, F.lit(1))))
+    at = lambda k: F.get(parts, F.lit(k))
+    sized = (F.length(at(0)) == 4) & (F.length(at(2)) <= 2) & (F.length(at(4)) <= 2) & (F.length(at(5)) == 2)
+    return F.when((shape == "9. w 9., w 9:9") & sized & (month > 0), F.concat_ws("|", at(0), month.cast("string"), at(2), at(4), at(5), F.lit("||")))
 
 
-def _zero() -> Column:
-    return F.lit(0)
+def _rewritten(c: Column) -> Column:
+    out = F.when(F.lit(False), c)
+    for pattern, target, known in _FORMS:
+        out = out.when(c.rlike(pattern), F.concat(F.regexp_replace(c, pattern, target), F.lit(f"|{int(known)}")))
+    return out.otherwise(F.concat(_long_form(c), F.lit("|1")))
 
 
 def parse_datetime(value: Column | str, timezone: str) -> Column:
-    """STRUCT<ts TIMESTAMP_NTZ, known BOOLEAN>; ts is null when nothing fits."""
-    c = strip_space(value)
-    zero = _zero()
-
-    is_date = c.rlike(_ISO_DATE)
-    date_part = F.when(F.length(c) == 10, F.lit(0)).otherwise(F.lit(3))
-    date_ts = F.when(
-        date_part == 0,
-        _local(*(_num(_group(c, _ISO_DATE, i)) for i in (1, 2, 3)), zero, zero, zero),
-    ).otherwise(
-        _local(*(_num(_group(c, _ISO_DATE, i)) for i in (4, 5, 6)), zero, zero, zero)
-    )
-
-    is_week = c.rlike(_ISO_WEEK)
-    year = _num(_group(c, _ISO_WEEK, 1))
-    week = _num(_group(c, _ISO_WEEK, 2))
-    weekday = F.greatest(_num(_group(c, _ISO_WEEK, 3)), F.lit(1))
-    fourth = _local(year, F.lit(1), F.lit(4), zero, zero, zero).cast("date")
-    monday = F.date_sub(fourth, F.weekday(fourth))
-    by_week = F.date_add(monday, ((week - 1) * 7 + weekday - 1).cast("int"))
-    week_ts = F.when(
-        (week >= 1) & (F.weekofyear(by_week) == week) & (F.abs(F.year(by_week) - year) <= 1),
-        by_week.cast("timestamp_ntz"),
-    )
-
-    is_iso = c.rlike(_ISO_TIME)
-    parts = [_group(c, _ISO_TIME, i) for i in range(1, 9)]
-    micros = F.rpad(F.substring(parts[6], 1, 6), 6, "0").try_cast("int")
-    naive = _local(*(_num(p) for p in parts[:5]), _num(parts[5])) + F.make_dt_interval(
-        secs=F.coalesce(micros, F.lit(0)).cast("decimal(18,6)") / F.lit(1000000)
-    )
-    offset = F.regexp_replace(parts[7], "[:+-]", "")
-    seconds = (
-        _num(F.substring(offset, 1, 2)) * 3600
-        + _num(F.substring(offset, 3, 2)) * 60
-        + _num(F.substring(offset, 5, 2))
-    )
-    signed = F.when(parts[7] == "Z", F.lit(0)).otherwise(
-        F.when(parts[7].startswith("-"), -seconds).otherwise(seconds)
-    )
+    """STRUCT<ts TIMESTAMP_NTZ, known BOOLEAN>; ts is null when nothing fits.
+    Seconds of 60, offsets of a day or more and the year 0 do not fit."""
+    split = F.split(_rewritten(strip_space(value)), "\\|")
+    # one element, so that the parts are computed once
+    parsed = F.transform(F.array(split), lambda p: _built(p, timezone))
+    return F.coalesce(F.get(parsed, F.lit(0)), F.struct(F.lit(None).cast("timestamp_ntz").alias("ts"), F.lit(None).cast("boolean").alias("known")))
+
+
+def _built(p: Column, timezone: str) -> Column:
+    at = lambda k: F.get(p, F.lit(k))
+    year, week = _num(at(0)), _num(F.regexp_replace(at(1), "W", ""))
+    weekday = F.greatest(_num(at(2)), F.lit(1))
+    fourth = F.try_make_timestamp_ntz(year, F.lit(1), F.lit(4), F.lit(0), F.lit(0), F.lit(0)).cast("date")
+    by_week = F.date_add(F.date_sub(fourth, F.weekday(fourth)), ((week - 1) * 7 + weekday - 1).cast("int"))
+    sound_week = (week >= 1) & (F.weekofyear(F.date_sub(by_week, weekday - 1)) == week)
+    by_day = F.try_make_timestamp_ntz(year, _num(at(1)), _num(at(2)), F.lit(0), F.lit(0), F.lit(0)).cast("date")
+    day = F.when(at(1).startswith("W"), F.when(sound_week, by_week)).otherwise(by_day)
+    hour, minute, second = _num(at(3)), _num(at(4)), _num(at(5))
+    micros = _num(F.rpad(F.substring(at(6), 1, 6), 6, "0"))
+    clock = hour * 3600 + minute * 60 + second
+    naive = day.cast("timestamp_ntz") + F.make_dt_interval(secs=clock + micros.cast("decimal(18,6)") / F.lit(1000000))
+    digits = F.regexp_replace(at(7), "[:+-]", "")
+    oh, om, os = (_num(F.substring(digits, k, 2)) for k in (1, 3, 5))
+    signed = (oh * 3600 + om * 60 + os) * F.when(at(7).startswith("-"), F.lit(-1)).otherwise(F.lit(1))
     utc = naive - F.make_dt_interval(secs=signed.cast("decimal(18,6)"))
-    iso_ts = F.when(parts[7] == "", naive).otherwise(
-        F.convert_timezone(F.lit("UTC"), F.lit(timezone), utc)
-    )
-
-    is_dotted = c.rlike(_DOTTED)
-    dot = [_group(c, _DOTTED, i) for i in range(1, 9)]
-    tight_seconds = (dot[3] != "") & (dot[7] != "")
-    dotted_ts = F.when(
-        ~tight_seconds,
-        _local(
-            _num(dot[0]),
-            _num(F.concat(dot[1], dot[3])),
-            _num(F.concat(dot[2], dot[4])),
-            *(_num(p) for p in dot[5:]),
-        ),
-    )
-
-    is_long = c.rlike(_LONG)
-    name = F.lower(_group(c, _LONG, 2))
-    month = F.array_position(F.array(*map(F.lit, MONTHS)), name).cast("int")
-    long_ts = _local(
-        _num(_group(c, _LONG, 1)),
-        month,
-        *(_num(_group(c, _LONG, i)) for i in (3, 4, 5)),
-        zero,
-    )
-
-    ts = (
-        F.when(is_date, date_ts)
-        .when(is_week, week_ts)
-        .when(is_iso, iso_ts)
-        .when(is_dotted, dotted_ts)
-        .when(is_long, long_ts)
-    )
-    known = ~(is_date | is_week | (is_dotted & (dot[5] == "")))
-    return F.struct(ts.alias("ts"), F.when(ts.isNotNull(), known).alias("known"))
+    zoned = F.convert_timezone(F.lit("UTC"), F.lit(timezone), utc)
+    sound = (year >= 1) & (hour <= 23) & (minute <= 59) & (second <= 59) & (oh <= 23) & (om <= 59) & (os <= 59)
+    ts = F.when(sound, F.when(at(7) == "", naive).otherwise(zoned))
+    return F.struct(ts.alias("ts"), F.when(ts.isNotNull(), at(8) == "1").alias("known"))
 
 
 def effective_date(start: Column, known: Column, shift_hours: int) -> Column:
@@ -147,27 +113,30 @@ def effective_date(start: Column, known: Column, shift_hours: int) -> Column:
     return F.when(known, shifted.cast("date")).otherwise(start.cast("date"))
 
 
+def _shape(text: Column) -> Column:
+    """Digits as 9, everything else as it is."""
+    return F.translate(text, "012345678", "999999999")
+
+
 def combine_start(event_date: Column | str, event_time: Column | str) -> Column:
     """A date marker plus `H:MM`; null when either half is unusable."""
-    day = F.regexp_extract(_col(event_date), r"^(\d{4}-\d{2}-\d{2})T", 1)
-    clock = strip_space(event_time)
-    hour = F.regexp_extract(clock, r"^(\d{1,2}):(\d{2})$", 1)
-    minute = F.regexp_extract(clock, r"^(\d{1,2}):(\d{2})$", 2)
-    good = (day != "") & (hour != "") & (_num(hour) <= 23) & (_num(minute) <= 59)
-    return F.when(
-        good, F.concat(day, F.lit(" "), F.lpad(hour, 2, "0"), F.lit(":"), minute, F.lit(":00"))
-    )
+    marker, clock = F.split(_col(event_date), "T"), F.split(strip_space(event_time), ":")
+    day, hour, minute = F.get(marker, F.lit(0)), F.get(clock, F.lit(0)), F.get(clock, F.lit(1))
+    shaped = (F.size(marker) > 1) & (_shape(day) == "9999-99-99") & (F.size(clock) == 2) & _shape(hour).isin("9", "99") & (_shape(minute) == "99")
+    good = F.coalesce(shaped & (_num(hour) <= 23) & (_num(minute) <= 59), F.lit(False))
+    return F.when(good, F.concat(day, F.lit(" "), F.lpad(hour, 2, "0"), F.lit(":"), minute, F.lit(":00")))
 
 
 def resolve_year(end_text: Column | str, start: Column) -> Column:
     """`- MM. DD. HH:MM` takes the start's year, or the next one when that would
-    end before it starts. Formatted like the start text it came with."""
+    end before it starts. A day without a year is never 29 February."""
     text = strip_space(F.regexp_replace(strip_space(end_text), "^-+", ""))
     form = r"(?U)^(\d{1,2})\.\s+(\d{1,2})\.\s+(\d{1,2}):(\d{1,2})$"
     mo, d, h, mi = (_num(F.regexp_extract(text, form, i)) for i in (1, 2, 3, 4))
-    same = _local(F.year(start), mo, d, h, mi, _zero())
-    after = _local(F.year(start) + 1, mo, d, h, mi, _zero())
-    end = F.when(text.rlike(form), F.when(same < start, after).otherwise(same))
+    at = lambda year: F.try_make_timestamp_ntz(year, mo, d, h, mi, F.lit(0))
+    same, after = at(F.year(start)), at(F.year(start) + 1)
+    readable = text.rlike(form) & ~((mo == 2) & (d == 29))
+    end = F.when(readable, F.when(same < start, after).otherwise(same))
     return F.date_format(end, "yyyy-MM-dd HH:mm:ss")
 
 
