@@ -1,17 +1,438 @@
-"""The registered queries and the SQL that states their results."""
+"""The registered queries and the SQL that states their results.
+
+Each oracle is written from the rules of the operation over the tables, not
+from the Spark code; arrays leave as joined text."""
 
 from __future__ import annotations
 
-from listweave.operators import normalize
-from listweave.testview import SETTINGS, literal_timestamp, oracle, raw
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from listweave.functions import text as texts
+from listweave.operators import extract, merge, normalize, present, rank, state
+from listweave.testview import NOW, SETTINGS, literal_timestamp, oracle, raw
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
+TODAY = NOW[:10]
+
+
+def query(sql: str | None = None):
+    """Registers a function under its name, with its oracle."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _all(s: SparkSession, d: str) -> DataFrame:
+    return normalize.normalized(raw(s, d), SETTINGS, literal_timestamp())
+
+
+def _kept(s: SparkSession, d: str) -> DataFrame:
+    return normalize.kept(_all(s, d))
+
+
+def _today():
+    return F.lit(TODAY).cast("date")
+
+
+def _hidden():
+    return F.col("ord") % 13 == 0
+
+
+def _categorized(s, d):
+    return rank.categorized(rank.with_text(_kept(s, d)), SETTINGS)
+
+
+def _passed(s, d):
+    return _categorized(s, d).filter(rank.exclusion(SETTINGS, _hidden()).isNull())
+
+
+def _scored(s, d):
+    return rank.scored(_passed(s, d), SETTINGS, literal_timestamp(), F.col("ord") % 11 == 0, F.col("ord") % 101 == 0)
+
+
+def _final(s, d):
+    return _scored(s, d).filter(F.col("score") >= SETTINGS.filters.min_score)
+
+
+# DuckDB: categories, exclusions, scores, groups, each a CTE over the one before.
+_WORD = "regexp_matches(txt, '(^|[^\\pL\\pN_]){}($|[^\\pL\\pN_])')".format
+CAT = f"""
+texts AS (SELECT *, lower(strip_accents(title || ' ' || coalesce(description, ''))) AS txt FROM listing),
+points AS (SELECT *,
+  CASE WHEN {_WORD('jazz')} THEN 3.0::DOUBLE ELSE 0 END + CASE WHEN regexp_matches(txt, '(^|[^\\pL\\pN_])koncert') THEN 2 ELSE 0 END
+    + CASE WHEN contains(url, '/e/u') THEN 3 ELSE 0 END + CASE WHEN native_category = 'click' THEN 4 ELSE 0 END AS music,
+  CASE WHEN {_WORD('the')} THEN 0.5::DOUBLE ELSE 0 END + CASE WHEN list_contains(string_split(venue_norm, ' '), 'asia') THEN 2.5 ELSE 0 END
+    + CASE WHEN native_category = 'purchase' THEN 4 ELSE 0 END AS shop,
+  CASE WHEN native_category = 'view' THEN 4.0::DOUBLE ELSE 0 END AS walk FROM texts),
+totals AS (SELECT ord, 'music' AS name, 0 AS place, music AS total FROM points UNION ALL SELECT ord, 'shop', 1, shop FROM points UNION ALL SELECT ord, 'walk', 2, walk FROM points),
+named_cats AS (SELECT ord, list(name ORDER BY total DESC, place) AS cats FROM totals WHERE total >= 2 GROUP BY ord),
+cat AS (SELECT p.*, coalesce(n.cats, ['egyeb']) AS categories FROM points p LEFT JOIN named_cats n USING (ord))"""
+FILTERED = f"""
+reasons AS (SELECT *, CASE WHEN ord % 13 = 0 THEN 'hidden_by_override' WHEN city <> 'Budapest' THEN 'geo_city_mismatch' WHEN distance_km > 6 THEN 'geo_too_far'
+  WHEN NOT list_has_any(categories, ['music', 'walk', 'egyeb']) THEN 'category_not_allowed' WHEN price_min > 9000 THEN 'price_too_high'
+  WHEN {_WORD('scum')} THEN 'blocked_keyword' END AS reason FROM cat)"""
+SCORED = f"""
+terms AS (SELECT *,
+  CASE categories[1] WHEN 'music' THEN 3.0::DOUBLE WHEN 'shop' THEN -1 ELSE 0 END AS category_weight,
+  CASE WHEN {_WORD('jazz')} THEN 1.5::DOUBLE ELSE 0 END + CASE WHEN {_WORD('koncert')} THEN 0.5 ELSE 0 END AS keyword_boosts,
+  CASE WHEN is_free THEN 2.0::DOUBLE ELSE 0 END AS free_bonus, CASE WHEN price_min < 3000 THEN 1.0::DOUBLE ELSE 0 END AS cheap_bonus,
+  CASE WHEN district = 'XI.' THEN 1.25::DOUBLE ELSE 0 END AS same_district_bonus, coalesce(-(least(distance_km, 8.0) * 0.25::DOUBLE), 0) AS distance_penalty,
+  CASE WHEN ord % 11 <> 0 THEN 0.75::DOUBLE ELSE 0 END AS novelty_bonus,
+  CASE WHEN "start" BETWEEN TIMESTAMP '{NOW}' AND TIMESTAMP '{NOW}' + INTERVAL 3 DAY THEN 1.5::DOUBLE ELSE 0 END AS soon_bonus,
+  CASE isodow(effective_date) WHEN 5 THEN 0.5::DOUBLE WHEN 6 THEN 1 WHEN 7 THEN -0.5 ELSE 0 END AS weekday_weight,
+  CASE WHEN ord % 101 = 0 THEN 100.0::DOUBLE ELSE 0 END AS pinned_bonus FROM reasons WHERE reason IS NULL),
+scored AS (SELECT *, category_weight + keyword_boosts + free_bonus + cheap_bonus + same_district_bonus + distance_penalty + novelty_bonus + soon_bonus + weekday_weight + pinned_bonus AS score,
+  categories[1] AS category FROM terms),
+final AS (SELECT * FROM scored WHERE score >= 2)"""
+_RANKED = """
+slots AS (SELECT *, count(*) OVER (PARTITION BY venue_name, effective_date, category) AS n,
+  row_number() OVER (PARTITION BY venue_name, effective_date, category ORDER BY score DESC, ord) AS rk FROM final WHERE venue_name IS NOT NULL)"""
+GROUPED = _RANKED + """,
+view AS (
+  SELECT min(ord) AS ord, venue_name || ' — ' || count(*) || ' program' AS title, venue_name, effective_date, category, min("start") AS "start", max(score) AS score,
+    min_by(url, rk) AS url, string_agg(title, ', ' ORDER BY rk) FILTER (rk <= 3) AS description, count(*) AS group_size
+  FROM slots WHERE n >= 4 GROUP BY venue_name, effective_date, category
+  UNION ALL SELECT ord, title, venue_name, effective_date, category, "start", score, url, description, 1 FROM slots WHERE n < 4 AND rk <= 3
+  UNION ALL SELECT ord, title, venue_name, effective_date, category, "start", score, url, description, 1 FROM final WHERE venue_name IS NULL)"""
+LIMITED = GROUPED + """,
+best AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY score DESC, ord) AS rank FROM view),
+limited AS (SELECT * FROM best WHERE rank <= 5 ORDER BY score DESC, ord LIMIT 25)"""
+
+
+def _sql(select: str, *ctes: str) -> str:
+    return oracle(select, *ctes)
+
+
+# --- normalize -------------------------------------------------------------
+
+
+@query(_sql("SELECT * EXCLUDE (description) FROM listing_all"))
+def normalize_listings(s, d):
+    return _all(s, d).drop("description")
+
+
+def _columns(name: str, *columns: str) -> None:
+    names = ["ord", *columns]
+    QUERIES[name] = lambda s, d: _all(s, d).select(*names)
+    ORACLES[name] = _sql("SELECT " + ", ".join(f'"{c}"' for c in names) + " FROM listing_all")
+
+
+_columns("parse_datetime", "start", "start_time_known", "end")
+_columns("parse_price", "price_min", "price_max", "is_free")
+_columns("normalize_district", "district")
+_columns("derive_city", "city")
+_columns("effective_date", "effective_date")
+_columns("make_event_id", "id")
+_columns("normalize_title", "title_norm")
+_columns("normalize_venue", "venue_norm")
+_columns("normalize_url", "url_norm")
+_columns("haversine_km", "distance_km")
+
+
+@query("SELECT doc_id, sha256(lower(strip_accents(text))) AS folded FROM documents")
+def fold_text(s, d):
+    return s.read.parquet(f"{d}/documents.parquet").select("doc_id", F.sha2(texts.fold_text("text"), 256).alias("folded"))
+
+
+@query("SELECT p_partkey, trim(regexp_replace(lower(strip_accents(p_name || ' & ' || p_brand)), '[^0-9a-z]+', ' ', 'g')) AS tokens FROM part")
+def venue_tokens(s, d):
+    return s.read.parquet(f"{d}/part.parquet").select("p_partkey", texts.venue_tokens(F.concat("p_name", F.lit(" & "), "p_brand")).alias("tokens"))
+
+
+def _dropped(name: str, reason: str) -> None:
+    QUERIES[name] = lambda s, d: _all(s, d).filter(F.col("drop_reason") == reason).select("ord", "source_id")
+    ORACLES[name] = _sql(f"SELECT ord, source_id FROM listing_all WHERE drop_reason = '{reason}'")
+
+
+_dropped("drop_past", "dropped_past")
+_dropped("drop_beyond_horizon", "beyond_horizon")
+_dropped("drop_unparseable_start", "unparseable_start")
+
+
+@query(_sql("SELECT source_id, count(*) AS n FROM listing_all WHERE drop_reason = 'dropped_past' GROUP BY source_id"))
+def past_by_source(s, d):
+    return _all(s, d).filter("drop_reason = 'dropped_past'").groupBy("source_id").agg(F.count("*").alias("n"))
+
+
+# --- categories, filter, score -----------------------------------------------
+
+
+@query(_sql("SELECT ord, name, total FROM totals", CAT))
+def explain_category(s, d):
+    rows = rank.explained(rank.with_text(_kept(s, d)), SETTINGS)
+    return rows.select("ord", F.explode("category_scores").alias("c")).select("ord", "c.name", "c.total")
+
+
+@query(_sql("SELECT ord, array_to_string(categories, ',') AS categories FROM cat", CAT))
+def categorize(s, d):
+    return _categorized(s, d).select("ord", F.array_join("categories", ",").alias("categories"))
+
+
+@query(_sql("SELECT c AS category, count(*) AS n FROM (SELECT unnest(categories) AS c FROM cat) GROUP BY c", CAT))
+def category_counts(s, d):
+    return _categorized(s, d).select(F.explode("categories").alias("category")).groupBy("category").agg(F.count("*").alias("n"))
+
+
+@query(_sql("SELECT ord, reason FROM reasons", CAT, FILTERED))
+def content_filter(s, d):
+    return _categorized(s, d).select("ord", rank.exclusion(SETTINGS, _hidden()).alias("reason"))
+
+
+@query(_sql("SELECT reason, count(*) AS n FROM reasons WHERE reason IS NOT NULL GROUP BY reason", CAT, FILTERED))
+def exclusion_counts(s, d):
+    rows = _categorized(s, d).select(rank.exclusion(SETTINGS, _hidden()).alias("reason"))
+    return rows.filter("reason IS NOT NULL").groupBy("reason").agg(F.count("*").alias("n"))
+
+
+def _only(name: str, keep, reason: str) -> None:
+    """One test of the filter by itself."""
+    QUERIES[name] = lambda s, d: _categorized(s, d).filter(keep()).select("ord")
+    ORACLES[name] = _sql(f"SELECT ord FROM cat WHERE NOT coalesce({reason}, false)", CAT)
+
+
+_only("hidden_filter", lambda: ~_hidden(), "ord % 13 = 0")
+_only("geo_distance", lambda: F.coalesce(F.col("distance_km") <= 6.0, F.lit(True)), "distance_km > 6")
+_only("geo_city", lambda: F.coalesce(texts.fold_text("city") == "budapest", F.lit(True)), "city <> 'Budapest'")
+_only("category_allow", lambda: F.arrays_overlap("categories", F.array(*map(F.lit, SETTINGS.filters.categories))), "NOT list_has_any(categories, ['music', 'walk', 'egyeb'])")
+_only("price_cap", lambda: F.coalesce(F.col("price_min") <= 9000, F.lit(True)), "price_min > 9000")
+_only("blocked_keywords", lambda: ~texts.contains_word(F.col("haystack"), "scum", prefix_by_default=False), _WORD("scum"))
+
+
+@query(_sql("SELECT doc_id, regexp_matches(t, '(^|[^\\pL\\pN_])licen') AS prefix, regexp_matches(t, '(^|[^\\pL\\pN_])und($|[^\\pL\\pN_])') AS whole FROM (SELECT doc_id, lower(strip_accents(text)) AS t FROM documents)"))
+def contains_word(s, d):
+    rows = s.read.parquet(f"{d}/documents.parquet").select("doc_id", texts.fold_text("text").alias("t"))
+    return rows.select("doc_id", texts.contains_word(F.col("t"), "licen*").alias("prefix"), texts.contains_word(F.col("t"), "und").alias("whole"))
+
+
+_TERMS = "category_weight, keyword_boosts, free_bonus, cheap_bonus, same_district_bonus, distance_penalty, novelty_bonus, soon_bonus, weekday_weight, pinned_bonus"
+
+
+@query(_sql(f"SELECT ord, {_TERMS}, round(score, 6) AS score FROM scored", CAT, FILTERED, SCORED))
+def explain_score(s, d):
+    return _scored(s, d).select("ord", *_TERMS.split(", "), F.round("score", 6).alias("score"))
+
+
+@query(_sql("SELECT ord, round(score, 6) AS score FROM final", CAT, FILTERED, SCORED))
+def min_score(s, d):
+    return _final(s, d).select("ord", F.round("score", 6).alias("score"))
+
+
+# --- groups, limits, sections ---------------------------------------------------
+
+_VIEW = "ord, title, venue_name, effective_date, category, \"start\", round(score, 6) AS score, url, group_size"
+
+
+def _shown(rows: DataFrame) -> DataFrame:
+    return rows.select("ord", "title", "venue_name", "effective_date", "category", "start", F.round("score", 6).alias("score"), "url", "group_size")
+
+
+@query(_sql(f"SELECT {_VIEW} FROM view", CAT, FILTERED, SCORED, GROUPED))
+def publish_full(s, d):
+    return _shown(present.grouped(_final(s, d), SETTINGS))
+
+
+@query(_sql("SELECT title, description, group_size, round(score, 6) AS score FROM view WHERE group_size > 1", CAT, FILTERED, SCORED, GROUPED))
+def group_collapse(s, d):
+    return present.grouped(_final(s, d), SETTINGS).filter("group_size > 1").select("title", "description", "group_size", F.round("score", 6).alias("score"))
+
+
+@query(_sql("SELECT ord, category FROM final WHERE venue_name IS NULL", CAT, FILTERED, SCORED))
+def group_passthrough(s, d):
+    return present.grouped(_final(s, d), SETTINGS).filter("venue_name IS NULL").select("ord", "category")
+
+
+@query(_sql("SELECT ord FROM slots WHERE n < 4 AND rk <= 3", CAT, FILTERED, SCORED, _RANKED))
+def venue_cap(s, d):
+    return present.grouped(_final(s, d), SETTINGS).filter("venue_name IS NOT NULL AND group_size = 1").select("ord")
+
+
+@query(_sql("SELECT ord, category, rank FROM limited", CAT, FILTERED, SCORED, LIMITED))
+def email_delta_rows(s, d):
+    return present.limited(present.grouped(_final(s, d), SETTINGS), SETTINGS).select("ord", "category", "rank")
+
+
+@query(_sql("SELECT category, CASE category WHEN 'music' THEN 1 WHEN 'shop' THEN 2 WHEN 'walk' THEN 3 ELSE 5 END AS section, count(*) AS n FROM limited GROUP BY 1, 2", CAT, FILTERED, SCORED, LIMITED))
+def section_order(s, d):
+    rows = present.sectioned(present.limited(present.grouped(_final(s, d), SETTINGS), SETTINGS), SETTINGS)
+    return rows.groupBy("category", "section").agg(F.count("*").alias("n"))
+
+
+@query(_sql(f"SELECT ord, date_diff('day', DATE '{TODAY}', effective_date) AS days_left FROM view WHERE group_size = 1 AND date_diff('day', DATE '{TODAY}', effective_date) BETWEEN 0 AND 3", CAT, FILTERED, SCORED, GROUPED))
+def expiring_soon(s, d):
+    return present.expiring(present.grouped(_final(s, d), SETTINGS), SETTINGS, _today()).select("ord", "days_left")
+
+
+@query(_sql(f"SELECT count(*) AS shown, count(*) FILTER (is_free) AS free, count(*) FILTER (effective_date = DATE '{TODAY}') AS tonight, arg_max(title, (score, -ord)) AS top FROM final", CAT, FILTERED, SCORED))
+def digest_counters(s, d):
+    return _final(s, d).agg(
+        F.count("*").alias("shown"), F.count_if("is_free").alias("free"), F.count_if(F.col("effective_date") == _today()).alias("tonight"),
+        F.max_by("title", F.struct("score", -F.col("ord"))).alias("top"),
+    )
+
+
+# --- interactive view -------------------------------------------------------------
+
+_CONDITIONS = "list_has_any(categories, ['music'])", "effective_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-14'", "is_free", "coalesce(district = 'XI.', false)"
+
+
+def _conditions():
+    return present.filters(categories=["music"], since="2024-01-10", until="2024-01-14", free=True, district="XI.")
+
+
+@query(_sql(f"SELECT ord FROM final WHERE {' AND '.join(_CONDITIONS)}", CAT, FILTERED, SCORED))
+def apply_filters(s, d):
+    return present.applied(_final(s, d), _conditions()).select("ord")
+
+
+@query(_sql(" UNION ALL ".join(f"SELECT '{n}' AS without, count(*) FILTER ({' AND '.join(c for j, c in enumerate(_CONDITIONS) if j != k)}) AS n FROM final" for k, n in enumerate(("categories", "dates", "free", "district"))), CAT, FILTERED, SCORED))
+def relax_suggestions(s, d):
+    return present.relaxed(_final(s, d), _conditions())
+
+
+@query(_sql("SELECT district, count(*) AS n, count(*) FILTER (is_free) AS free FROM final WHERE district IS NOT NULL GROUP BY district", CAT, FILTERED, SCORED))
+def facets_present(s, d):
+    return _final(s, d).filter("district IS NOT NULL").groupBy("district").agg(F.count("*").alias("n"), F.count_if("is_free").alias("free"))
+
+
+@query(_sql("SELECT ord FROM final WHERE contains(lower(strip_accents(title || ' ' || coalesce(venue_name, ''))), 'asia')", CAT, FILTERED, SCORED))
+def search_text(s, d):
+    return _final(s, d).filter(texts.fold_text(F.concat("title", F.lit(" "), F.coalesce("venue_name", F.lit("")))).contains("asia")).select("ord")
+
+
+# --- duplicates ----------------------------------------------------------------------
+
+_CLUSTERS = """
+lead AS (SELECT *, CASE source_id WHEN 's0' THEN 10 WHEN 's1' THEN 20 WHEN 's2' THEN 30 ELSE 1000 END AS p, {} AS cluster FROM listing),
+flagged AS (SELECT *, coalesce(p < min(p) OVER (PARTITION BY cluster ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS leads FROM lead),
+ordered AS (SELECT *, CASE WHEN leads THEN 1000000000000 + ord ELSE -ord END AS pref FROM flagged),
+merged AS (SELECT cluster, min(ord) AS ord, count(*) AS records, array_to_string(list_sort(list(DISTINCT source_id)), ',') AS source_ids,
+  arg_max(title, pref) AS title, arg_max(source_id, pref) AS base_source, arg_max(venue_name, pref) FILTER (venue_name IS NOT NULL) AS venue_name,
+  arg_max(district, pref) FILTER (district IS NOT NULL) AS district, arg_max("end", pref) FILTER ("end" IS NOT NULL) AS "end",
+  arg_max(price_min, pref) FILTER (price_min IS NOT NULL) AS price_min, arg_max(is_free, pref) FILTER (price_min IS NOT NULL) AS is_free,
+  arg_max(distance_km, pref) FILTER (lat IS NOT NULL) AS distance_km, length(arg_max(description, (length(description), pref))) AS description_length
+  FROM ordered GROUP BY cluster)""".format
+
+
+def _merged(rows: DataFrame) -> DataFrame:
+    out = merge.merged(rows, SETTINGS)
+    return out.select("ord", "records", F.array_join("source_ids", ",").alias("source_ids"), "title", "venue_name", "district", "end", "price_min", "is_free", "distance_km", F.length("description").alias("description_length"))
+
+
+_MERGED = 'SELECT ord, records, source_ids, title, venue_name, district, "end", price_min, is_free, distance_km, description_length FROM merged'
+
+
+@query(_sql(_MERGED, _CLUSTERS("id")))
+def dedup_exact(s, d):
+    return _merged(_kept(s, d).withColumn("cluster", F.col("id")))
+
+
+@query(_sql("SELECT ord, min(ord) OVER (PARTITION BY url_norm) AS cluster FROM listing"))
+def dedup_url(s, d):
+    return merge.url_clusters(_kept(s, d))
+
+
+@query(_sql(_MERGED, _CLUSTERS("min(ord) OVER (PARTITION BY url_norm)")))
+def merge_fold(s, d):
+    rows = _kept(s, d)
+    return _merged(rows.join(merge.url_clusters(rows), "ord"))
+
+
+@query(_sql("SELECT count(*) AS before, count(DISTINCT id) AS after, count(*) - count(DISTINCT id) AS merged FROM listing"))
+def merge_counts(s, d):
+    return _kept(s, d).agg(F.count("*").alias("before"), F.count_distinct("id").alias("after")).withColumn("merged", F.col("before") - F.col("after"))
+
+
+# --- ledger, health, run ----------------------------------------------------------------
+
+_LEDGER = "ledger AS (SELECT DISTINCT id, title_norm AS t, effective_date AS d, DATE '2024-01-08' AS s FROM listing_all WHERE ord % 11 = 0 AND id IS NOT NULL)"
+
+
+def _ledger(s, d):
+    rows = _all(s, d).filter("ord % 11 = 0 AND id IS NOT NULL")
+    return rows.select("id", F.col("title_norm").alias("t"), F.col("effective_date").alias("d"), F.lit("2024-01-08").cast("date").alias("s")).distinct()
+
+
+@query(_sql("SELECT ord FROM listing l WHERE l.id NOT IN (SELECT id FROM ledger) AND NOT EXISTS (SELECT 1 FROM ledger g WHERE g.d = l.effective_date AND g.t = l.title_norm)", _LEDGER))
+def exclude_already_sent(s, d):
+    return state.unsent(_kept(s, d), _ledger(s, d)).select("ord")
+
+
+@query(_sql(f"SELECT id, arg_min(t, s) AS t, min(s) AS s FROM (SELECT id, t, s FROM ledger UNION ALL SELECT id, title_norm, DATE '{TODAY}' FROM listing) GROUP BY id", _LEDGER))
+def ledger_record(s, d):
+    return state.recorded(_ledger(s, d), _kept(s, d), _today()).select("id", "t", "s")
+
+
+@query(_sql(f"SELECT id, d FROM ledger WHERE d >= DATE '{TODAY}' - 5", _LEDGER))
+def ledger_purge(s, d):
+    return state.purged(_ledger(s, d), _today(), 5).select("id", "d")
+
+
+@query(_sql(f"SELECT source_id, 0 AS consecutive_failures, DATE '{TODAY}' AS last_ok, count(*) AS last_count FROM listing GROUP BY source_id"))
+def health_update(s, d):
+    run = _kept(s, d).groupBy("source_id").agg(F.count("*").alias("n"))
+    before = raw(s, d).groupBy("source_id").agg(F.lit(2).alias("consecutive_failures"), F.lit("2024-01-01").cast("date").alias("last_ok"), F.count("*").alias("last_count"))
+    return state.health(before, run, _today()).select("source_id", "consecutive_failures", "last_ok", "last_count")
+
+
+@query(_sql("SELECT source_id, count(*) AS raw, count(*) FILTER (drop_reason IS NULL) AS kept, count(*) FILTER (drop_reason = 'dropped_past') AS past, count(*) FILTER (drop_reason IS NULL AND venue_name IS NULL) AS venueless FROM listing_all GROUP BY source_id"))
+def run_summary(s, d):
+    none = F.col("drop_reason").isNull()
+    return _all(s, d).groupBy("source_id").agg(
+        F.count("*").alias("raw"), F.count_if(none).alias("kept"), F.count_if(F.col("drop_reason") == "dropped_past").alias("past"),
+        F.count_if(none & F.col("venue_name").isNull()).alias("venueless"),
+    )
+
+
+# --- extraction: bodies are built from the tables, one per nation -----------------------
+
+
+def _bodies(s, d, body) -> DataFrame:
+    rows = s.read.parquet(f"{d}/customer.parquet").withColumn("source_id", F.concat(F.lit("n"), F.col("c_nationkey").cast("string")))
+    return rows.groupBy("source_id").agg(body.alias("body"))
+
+
+_CUSTOMER = "SELECT 'n' || c_nationkey AS source_id, CAST(c_custkey AS VARCHAR) AS key, c_name AS name FROM customer"
+
+
+def _items():
+    return F.collect_list(F.struct(F.col("c_custkey").alias("key"), F.struct(F.col("c_name").alias("name")).alias("venue")))
+
+
+@query(_CUSTOMER)
+def extract_json_array(s, d):
+    bodies = _bodies(s, d, F.to_json(F.struct(F.struct(_items().alias("items")).alias("data"))))
+    return extract.json_array(bodies, "data.items", {"key": "key", "name": "venue.name"}).drop("position")
+
+
+@query(_CUSTOMER)
+def extract_array_json(s, d):
+    return extract.json_array(_bodies(s, d, F.to_json(_items())), "", {"key": "key", "name": "venue.name"}).drop("position")
+
+
+@query(_CUSTOMER)
+def extract_keyed_json(s, d):
+    pairs = F.map_from_entries(F.collect_list(F.struct(F.col("c_custkey").cast("string"), F.struct(F.col("c_name").alias("name")))))
+    return extract.keyed_json(_bodies(s, d, F.to_json(pairs)), {"name": "name"})
 
 
-def _normalized(spark, sf_dir):
-    return normalize.normalized(raw(spark, sf_dir), SETTINGS, literal_timestamp())
+@query(_CUSTOMER)
+def extract_jsonld(s, d):
+    items = F.collect_list(F.struct(F.struct(F.col("c_custkey").alias("key"), F.col("c_name").alias("name")).alias("item")))
+    block = F.to_json(F.struct(F.lit("list").alias("@id"), items.alias("itemListElement")))
+    page = F.concat(F.lit('<html><script type="application/ld+json">{"broken</script><script type="application/ld+json">'), block, F.lit("</script></html>"))
+    return extract.jsonld(_bodies(s, d, page), ["list"], {"key": "key", "name": "name"})
 
 
-QUERIES["normalize"] = lambda s, d: _normalized(s, d).drop("description")
-ORACLES["normalize"] = oracle("SELECT * EXCLUDE (description) FROM listing_all")
+@query("SELECT 'n' || c_nationkey AS source_id, CASE WHEN c_acctbal < 0 THEN 'missing_name' END AS reject_reason, count(*) AS n FROM customer GROUP BY ALL")
+def rejects(s, d):
+    name = F.when(F.col("c_acctbal") >= 0, F.col("c_name"))
+    items = F.collect_list(F.struct(F.col("c_custkey").alias("key"), name.alias("name")))
+    rows = extract.json_array(_bodies(s, d, F.to_json(items)), "", {"key": "key", "name": "name"})
+    return extract.split_rejects(rows, ["key", "name"]).groupBy("source_id", "reject_reason").agg(F.count("*").alias("n"))

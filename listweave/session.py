@@ -24,6 +24,7 @@ def local_session(app: str = "listweave", cores: str | None = None) -> SparkSess
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("LISTWEAVE_DRIVER_MEMORY", "12g"))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config(CHECKPOINT_DIR, tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
         .getOrCreate()
     )
