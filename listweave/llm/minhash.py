@@ -11,10 +11,13 @@ that agree in 16 coordinates must meet in the rarest ``shared - 15`` of each
 that met. Retained pairs are confirmed on the full sets.
 
 A posting is not expanded into pairs. First each of its classes is compared with
-its smallest; confirmed links form components. Then only classes of different
-components are compared, and a posting's largest component only with the rest.
-So no link between components is lost, copies cost nothing, and a large group of
-near copies costs its size.
+its smallest, and so are classes that agree in a whole band of coordinates;
+confirmed links form components. Then only classes of different components are
+compared, and a posting's largest component only with the rest. A class that is
+still open there counts its shingles that no other open class holds: they are in
+no intersection, which bounds the similarity of every pair from above, and pairs
+below the bound never arise. So no link between components is lost, copies cost
+nothing, and a large group of near copies costs its size.
 
 Defined results: null, empty and wordless texts have an empty set and link with
 nothing. Rows that share a doc_id are one node. A null doc_id links with nothing
@@ -36,6 +39,8 @@ from .components import components
 
 WORDS = 5
 COORDINATES, MATCHES = 32, 16
+#: Coordinates of a band of the first comparison.
+BAND = 8
 #: Links need 100 * intersection >= SIMILARITY * union.
 SIMILARITY = 85
 MEMORY = 600_000
@@ -139,6 +144,20 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str) -> DataFr
     return pairs.join(of("a"), "a").join(of("b"), "b").filter(udf("ta", "tb")).select("a", "b").distinct()
 
 
+def _own_shingles(open_: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(rep, own): shingles of each open class that no other open class holds."""
+
+    def of(texts: pd.Series) -> pd.Series:
+        return pd.Series([shingles(t).view(np.int64) for t in texts.where(texts.notna(), None)])
+
+    # ids with several rows may have several texts: no shingle of theirs counts as own
+    several = docs.groupBy(key).agg(F.count("*").alias("n")).filter("n > 1").select(F.col(key).alias("rep"))
+    rows = docs.join(open_, docs[key] == open_["rep"])
+    each = rows.select("rep", F.explode(F.pandas_udf(of, "array<long>")(text)).alias("h"))
+    alone = each.groupBy("h").agg(F.count("*").alias("n"), F.min("rep").alias("rep")).filter("n = 1")
+    return stash(alone.join(several, "rep", "left_anti").groupBy("rep").agg(F.count("*").alias("own")), "own")
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_shingles, component_id) of every row of ``docs``."""
     rows = stash(described(docs, key, text), "signatures")
@@ -156,7 +175,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     postings = stash(ranked.filter(F.size("shared") >= MATCHES).select("rep", "n_shingles", F.explode(prefix["post"]).alias("post")), "prefix")
 
     smallest = stash(postings.groupBy("post").agg(F.min("rep").alias("b")), "smallest")
-    stars = postings.join(smallest, "post").filter("rep <> b").select(F.col("rep").alias("a"), "b").distinct()
+    bands = F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(COORDINATES - BAND), F.lit(BAND)), lambda k: F.xxhash64(F.slice("signature", k + 1, BAND))))
+    banded = reps.select("rep", bands.alias("k", "v")).select("rep", F.xxhash64("k", "v").alias("post"))
+    closest = stash(banded.groupBy("post").agg(F.min("rep").alias("b"), F.count("*").alias("n")).filter("n > 1").drop("n"), "bands")
+    stars = postings.select("rep", "post").join(smallest, "post").union(banded.join(closest, "post").select("post", "rep", "b"))
+    stars = stars.filter("rep <> b").select(F.col("rep").alias("a"), "b").distinct()
     links = stash(_confirmed(_retained(stars, reps), docs, key, text), "links")
     first = components(links)
 
@@ -165,12 +188,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     shares = grouped.groupBy("post", "component").agg(F.count("*").alias("n"))
     mixed_posts = stash(shares.groupBy("post").agg(F.max_by("component", F.struct("n", "component")).alias("home"), F.count("*").alias("groups")).filter("groups > 1").drop("groups"), "mixed")
     open_rows = stash(grouped.join(mixed_posts, "post"), "open")
-    strays = open_rows.filter("component <> home").select("post", F.col("rep").alias("a"), F.col("component").alias("ca"), F.col("n_shingles").alias("na"))
-    others = open_rows.select("post", F.col("rep").alias("b"), F.col("component").alias("cb"), F.col("n_shingles").alias("nb"), (F.col("component") == F.col("home")).alias("at_home"))
+    own = _own_shingles(open_rows.select("rep").distinct(), docs, key, text)
+    bounded = open_rows.join(own, "rep", "left").withColumn("common", F.col("n_shingles") - F.coalesce("own", F.lit(0)))
+    open_rows = stash(bounded.filter(100 * F.col("common") >= SIMILARITY * F.col("n_shingles")), "open")
+    strays = open_rows.filter("component <> home").select("post", F.col("rep").alias("a"), F.col("component").alias("ca"), F.col("n_shingles").alias("na"), F.col("common").alias("ma"))
+    others = open_rows.select("post", F.col("rep").alias("b"), F.col("component").alias("cb"), F.col("n_shingles").alias("nb"), F.col("common").alias("mb"), (F.col("component") == F.col("home")).alias("at_home"))
     across = (
         strays.join(others, "post")
         .filter((F.col("ca") != F.col("cb")) & (F.col("at_home") | (F.col("a") < F.col("b"))))
-        .filter((100 * F.least("na", "nb")) >= SIMILARITY * F.greatest("na", "nb"))
+        .filter(100 * F.least("ma", "mb") >= SIMILARITY * (F.col("na") + F.col("nb") - F.least("ma", "mb")))
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct()
     )
