@@ -40,3 +40,15 @@ def bounded_sample(df: DataFrame, label: str, key: str, bound: int) -> DataFrame
     share = df.groupBy(F.col(label).alias("_l")).agg((F.lit(float(bound)) / F.count("*")).alias("_share"))
     u = F.pmod(F.xxhash64(F.lit("sample"), F.col(key)), F.lit(1 << 30)) / float(1 << 30)
     return df.join(F.broadcast(share), F.col(label) == F.col("_l")).filter(u < F.col("_share")).drop("_l", "_share")
+
+
+def mapped(df: DataFrame, rows_of, schema: str, rows: int = 256) -> DataFrame:
+    """``df`` through ``rows_of``, which turns a slice of at most ``rows`` rows
+    (an Arrow record batch) into record batches: memory follows the slice."""
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, rows):
+                yield from rows_of(batch.slice(at, rows))
+
+    return df.mapInArrow(run, schema)

@@ -160,6 +160,7 @@ def _own_shingles(open_: DataFrame, docs: DataFrame, key: str, text: str) -> Dat
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_shingles, component_id) of every row of ``docs``."""
+    docs = docs.select(key, text)
     rows = stash(described(docs, key, text), "signatures")
     classes = stash(rows.filter(F.col("set_key").isNotNull() & F.col(key).isNotNull()).groupBy("set_key").agg(F.min(key).alias("rep"), F.count("*").alias("_n")), "classes")
     copies = classes.filter("_n > 1").select("set_key", "rep")

@@ -43,10 +43,11 @@ import tempfile
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_stash, stash
+from .common import drop_stash, mapped, stash
 from .minhash import mixed
 
 LENGTH, GRAM = 400, 64
@@ -113,23 +114,28 @@ def as_bytes(text: str | None) -> np.ndarray:
     return np.frombuffer((text or "").encode("utf-8", "surrogatepass"), dtype=np.uint8)
 
 
-ANCHOR = "array<struct<pos:int,key:long,full:long,lo:int,hi:int>>"
+def _anchor_rows(batch: pa.RecordBatch):
+    """Rows of the anchors of a slice of texts."""
+    found = [anchors(as_bytes(t)) for t in batch.column("text").to_pylist()]
+    of = np.repeat(np.arange(len(found)), [len(x[0]) for x in found])
+    columns = [np.concatenate(x) for x in zip(*found)]
+    kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
+    arrays = [batch.column(c).take(pa.array(of)) for c in ("doc", "hash")] + [pa.array(c, k) for c, k in zip(columns, kinds)]
+    yield pa.RecordBatch.from_arrays(arrays, names=["doc", "hash", "pos", "key", "full", "lo", "hi"])
 
 
-def _anchors(texts: pd.Series) -> pd.Series:
-    names = ("pos", "key", "full", "lo", "hi")
-    return pd.Series([[dict(zip(names, row)) for row in zip(*(x.tolist() for x in anchors(as_bytes(t))))] for t in texts.where(texts.notna(), None)])
-
-
-def _contexts(texts: pd.Series, rows: pd.Series) -> pd.Series:
-    out = []
-    for text, found in zip(texts, rows):
+def _context_rows(batch: pa.RecordBatch):
+    """Rows of the open anchors of a slice of texts, with the bytes around them."""
+    of, rows, contexts = [], [], []
+    for k, (text, found) in enumerate(zip(batch.column("text").to_pylist(), batch.column("rows").to_pylist())):
         raw = (text or "").encode("utf-8", "surrogatepass")
-        out.append([{**{k: r[k] for k in ("pos", "key", "lo", "hi", "single")}, "bytes": raw[r["pos"] - r["hi"] : r["pos"] - r["lo"] + LENGTH]} for r in found])
-    return pd.Series(out)
-
-
-CONTEXT = "array<struct<pos:int,key:long,lo:int,hi:int,single:boolean,bytes:binary>>"
+        of += [k] * len(found)
+        rows += found
+        contexts += [raw[r["pos"] - r["hi"] : r["pos"] - r["lo"] + LENGTH] for r in found]
+    kinds = {"pos": pa.int32(), "key": pa.int64(), "lo": pa.int32(), "hi": pa.int32(), "single": pa.bool_()}
+    arrays = [batch.column(c).take(pa.array(of, pa.int64())) for c in ("doc", "hash")]
+    arrays += [pa.array([r[c] for r in rows], kind) for c, kind in kinds.items()] + [pa.array(contexts, pa.binary())]
+    yield pa.RecordBatch.from_arrays(arrays, names=["doc", "hash", *kinds, "bytes"])
 
 
 def repeated(group: np.ndarray, contexts: list[bytes], lo: np.ndarray, hi: np.ndarray, least: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -217,14 +223,16 @@ def repeats(docs: DataFrame) -> DataFrame:
     """(doc, hash, start, end): byte ranges, possibly overlapping, whose union is
     what repeats in each text of ``docs`` (doc, hash, text)."""
     long_enough = docs.filter(F.octet_length("text") >= LENGTH)
-    found = long_enough.select("doc", "hash", F.explode(F.pandas_udf(_anchors, ANCHOR)("text")).alias("a")).select("doc", "hash", "a.*")
+    kind = dict(docs.dtypes)["doc"]
+    found = mapped(long_enough.select("doc", "hash", "text"), _anchor_rows, f"doc {kind}, hash long, pos int, key long, full long, lo int, hi int")
     whole, open_ = _split(stash(found, "anchors"))
     ranges = [whole.select("doc", "hash", (F.col("pos") - F.col("hi")).alias("start"), (F.col("pos") - F.col("lo") + LENGTH).alias("end"))]
     # the open anchors of one text: no more than it has
     per_doc = stash(open_.groupBy("doc", "hash").agg(F.collect_list(F.struct("pos", "key", "lo", "hi", "single")).alias("rows")), "open")
     on = docs["doc"].eqNullSafe(per_doc["doc"]) & (docs["hash"] == per_doc["hash"])
-    there = docs.join(per_doc, on).select(docs["doc"], docs["hash"], F.pandas_udf(_contexts, CONTEXT)("text", "rows").alias("c"))
-    live = stash(there.select("doc", "hash", F.explode("c").alias("c")).select("doc", "hash", "c.*", F.lit(0).alias("from"), F.lit(SPAN - 1).alias("to")), "contexts")
+    there = docs.join(per_doc, on).select(docs["doc"], docs["hash"], "text", "rows")
+    cut_out = mapped(there, _context_rows, f"doc {kind}, hash long, pos int, key long, lo int, hi int, single boolean, bytes binary", 64)
+    live = stash(cut_out.withColumns({"from": F.lit(0), "to": F.lit(SPAN - 1)}), "contexts")
     halves = F.pandas_udf(_halved, "array<struct<key:long,full:long,from:int,to:int>>")
     small = []
     while True:
@@ -242,7 +250,6 @@ def repeats(docs: DataFrame) -> DataFrame:
     rows = functools.reduce(DataFrame.unionByName, small)
     rows = stash(rows, "small")
     tasks = max(1, rows.count() // TASK_ROWS)
-    kind = dict(docs.dtypes)["doc"]
     built = rows.withColumn("task", F.pmod("key", F.lit(tasks))).groupBy("task").applyInPandas(_built, f"doc {kind}, hash long, start int, end int")
     ranges.append(stash(built, "built"))
     return functools.reduce(DataFrame.union, ranges)

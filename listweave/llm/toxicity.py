@@ -37,6 +37,8 @@ REJECT = 0.7
 SAMPLE = 1500
 #: Windows of a clean text in an epoch: the most toxic ones, and others at random.
 HARDEST, RANDOM = 2, 3
+#: Windows of a training step, and the fewest steps: small samples get more epochs.
+BATCH, LEAST_STEPS = 256, 300
 
 
 def window_starts(n: int) -> np.ndarray:
@@ -110,7 +112,8 @@ def fit(texts: list[str], labels: list[int], epochs: int = 10, seed: int = 7) ->
     of_doc: dict[int, list[np.ndarray]] = {}
     for window, k, _ in bags:
         of_doc.setdefault(k, []).append(window)
-    for epoch in range(epochs):
+    batches = 1 + len(used) * (HARDEST + RANDOM) // 2 // BATCH
+    for epoch in range(max(epochs, LEAST_STEPS // batches)):
         chosen: list[np.ndarray] = []
         targets, weight = [], []
         if epoch:
@@ -128,7 +131,7 @@ def fit(texts: list[str], labels: list[int], epochs: int = 10, seed: int = 7) ->
             weight += [(1 / len(picked)) if toxic else 1.0] * len(picked)
         targets, weight = np.asarray(targets), np.asarray(weight)
         weight[targets == 1] *= max(1.0, 0.3 * weight[targets == 0].sum() / weight[targets == 1].sum())
-        model.epoch(vocabulary, chosen, targets, weight)
+        model.epoch(vocabulary, chosen, targets, weight, BATCH)
     out = ToxicityModel(model.frozen(), 1.0, 0.0)
     check = held if len(held) else order
     out.slope, out.offset = logistic(out.raw([texts[i] for i in check]), y[check].astype(float))
