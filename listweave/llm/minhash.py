@@ -43,7 +43,7 @@ COORDINATES, MATCHES = 32, 16
 BAND = 8
 #: Links need 100 * intersection >= SIMILARITY * union.
 SIMILARITY = 85
-MEMORY = 600_000
+MEMORY = 150_000
 _RNG = np.random.default_rng(20240607)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MULTIPLIERS = _RNG.integers(1, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

@@ -16,20 +16,27 @@ import numpy as np
 
 PARTS = re.compile(r"[^\W_]+")
 #: Most words that a task remembers; beyond it the memory starts anew.
-MEMORY = 500_000
+MEMORY = 120_000
+#: Tokens that are hashed at a time.
+CHUNK = 10_000
 
 
 _PRIME, _MIX = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15)
 
 
-def ngrams(tokens: list[str], buckets: int, sizes=(3, 4, 5)) -> tuple[np.ndarray, np.ndarray]:
+def ngrams(tokens: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash buckets of the character n-grams of lower-cased tokens, and of their
     whole words, with the ends of words marked: all of them in token order, and
     how many each token has."""
+    parts = [_ngrams(tokens[at : at + CHUNK], buckets) for at in range(0, len(tokens), CHUNK)] or [_ngrams([], buckets)]
+    return np.concatenate([g for g, _ in parts]), np.concatenate([n for _, n in parts])
+
+
+def _ngrams(tokens: list[str], buckets: int, sizes=(3, 4, 5)) -> tuple[np.ndarray, np.ndarray]:
     marked = [f"<{'><'.join(parts)}>" if (parts := PARTS.findall(t)) else "" for t in tokens]
     codes = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
     if not len(codes):
-        return np.zeros(0, dtype=np.int64), np.zeros(len(tokens), dtype=np.int64)
+        return np.zeros(0, dtype=np.int32), np.zeros(len(tokens), dtype=np.int64)
     token = np.repeat(np.arange(len(tokens)), np.fromiter(map(len, marked), dtype=np.int64, count=len(marked)))
     begins = np.flatnonzero(codes == ord("<"))
     word = np.cumsum(codes == ord("<")) - 1
@@ -46,7 +53,7 @@ def ngrams(tokens: list[str], buckets: int, sizes=(3, 4, 5)) -> tuple[np.ndarray
     h = np.concatenate([x for _, x in found])
     h = ((h ^ (h >> np.uint64(29))) * _MIX >> np.uint64(20)) % np.uint64(buckets)
     order = np.argsort(of, kind="stable")
-    return h[order].astype(np.int64), np.bincount(of, minlength=len(tokens))
+    return h[order].astype(np.int32), np.bincount(of, minlength=len(tokens))
 
 
 class Vocabulary:
