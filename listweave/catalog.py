@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from listweave.functions import text as texts
 from listweave.operators import extract, merge, normalize, present, rank, state
+from listweave.tables import stash
 from listweave.testview import NOW, SETTINGS, literal_timestamp, oracle, raw
 
 QUERIES: dict = {}
@@ -34,7 +35,8 @@ def _all(s: SparkSession, d: str) -> DataFrame:
 
 
 def _kept(s: SparkSession, d: str) -> DataFrame:
-    return normalize.kept(_all(s, d))
+    """Stages are tables: what follows reads them instead of nesting their expressions."""
+    return stash(normalize.kept(_all(s, d)), "listings")
 
 
 def _today():
@@ -46,7 +48,7 @@ def _hidden():
 
 
 def _categorized(s, d):
-    return rank.categorized(rank.with_text(_kept(s, d)), SETTINGS)
+    return stash(rank.categorized(stash(rank.with_text(normalize.kept(_all(s, d))), "texts"), SETTINGS), "categorized")
 
 
 def _passed(s, d):
@@ -54,7 +56,8 @@ def _passed(s, d):
 
 
 def _scored(s, d):
-    return rank.scored(_passed(s, d), SETTINGS, literal_timestamp(), F.col("ord") % 11 == 0, F.col("ord") % 101 == 0)
+    rows = rank.scored(_passed(s, d), SETTINGS, literal_timestamp(), F.col("ord") % 11 == 0, F.col("ord") % 101 == 0)
+    return stash(rows.drop("haystack"), "scored")
 
 
 def _final(s, d):
