@@ -51,8 +51,7 @@ def _common_subsequence(a: str, b: str) -> int:
     return len(a) - row.bit_count()
 
 
-@F.arrow_udf(T.IntegerType())
-def _lcs(left: pa.Array, right: pa.Array) -> pa.Array:
+def _lcs_batch(left: pa.Array, right: pa.Array) -> pa.Array:
     return pa.array(
         [
             None if a is None or b is None else _common_subsequence(a, b)
@@ -62,6 +61,12 @@ def _lcs(left: pa.Array, right: pa.Array) -> pa.Array:
     )
 
 
+def _lcs(left: Column, right: Column) -> Column:
+    """Marked as not deterministic, so that a filter on the ratio is not pushed
+    below a `distinct` and the subsequence is computed once per pair."""
+    return F.arrow_udf(_lcs_batch, T.IntegerType()).asNondeterministic()(left, right)
+
+
 def token_set(value: Column | str) -> Column:
     """Sorted distinct words."""
     words = F.split(_col(value), r"(?U)\s+")
