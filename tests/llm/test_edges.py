@@ -146,6 +146,19 @@ def test_passages(spark, odd, none):
     assert passages.cut_passages(odd).count() == len(ODD) and passages.cut_passages(none).count() == 0
 
 
+def test_passages_with_many_edits(spark):
+    """Every tenth or seventh word is changed: no 20 words in a row are shared."""
+    texts, want = [], {}
+    for k in range(40):
+        words = prose(3000 + k, 60).split()
+        step = (10, 7)[k % 2]
+        copy = [f"edit{k}x{i}" if i % step == step - 1 else w for i, w in enumerate(words)]
+        texts += [f"{prose(4000 + k, 40)} {' '.join(words)} {prose(5000 + k, 40)}", f"{prose(6000 + k, 30)} {' '.join(copy)} {prose(7000 + k, 30)}"]
+        want[2 * k + 1] = (2 * k, 30, 90 - (1 if step == 10 else 5))
+    found = {r.doc_id: (r.src_doc_id, r.first_word, r.end_word) for r in passages.passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert found == want
+
+
 def brute_repeats(texts):
     raws = [(t or "").encode() for t in texts]
     seen = {}
