@@ -159,6 +159,32 @@ def test_passages_with_many_edits(spark):
     assert found == want
 
 
+def brute_words(texts):
+    """Which words lie in 50 that an earlier text holds word by word."""
+    seen, out = set(), []
+    for t in texts:
+        w = t.split()
+        runs = [tuple(w[i : i + 50]) for i in range(len(w) - 49)]
+        out.append({j for i, r in enumerate(runs) if r in seen for j in range(i, i + 50)})
+        seen.update(runs)
+    return out
+
+
+def test_passages_whose_parts_are_first_elsewhere(spark):
+    whole, line, more = prose(600, 80).split(), prose(601, 12), [prose(610 + k, 12) for k in range(6)]
+    say = lambda k, x: f"{prose(700 + 2 * k, 70)} {x} {prose(701 + 2 * k, 70)}"
+    parts = [" ".join(whole[:40]), " ".join(whole[40:]), " ".join(whole), " ".join(whole)]
+    lines = [line] * 5 + more + [" ".join(more), line, " ".join(more), f"{line} {' '.join(more)}"]
+    # in a source that holds parts of the passage before it, too
+    lines += [" ".join(whole[10:50]) + " " + prose(690, 30) + " " + " ".join(whole[::-1]), " ".join(whole[::-1])]
+    texts = [say(k, x) for k, x in enumerate(parts + lines)]
+    found = passages.passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    covered = [set() for _ in texts]
+    for r in found:
+        covered[r.doc_id].update(range(r.first_word, r.end_word))
+    assert covered == brute_words(texts) and covered[3] == set(range(70, 150))
+
+
 def brute_repeats(texts):
     raws = [(t or "").encode() for t in texts]
     seen = {}
