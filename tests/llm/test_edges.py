@@ -185,6 +185,30 @@ def test_passages_whose_parts_are_first_elsewhere(spark):
     assert covered == brute_words(texts) and covered[3] == set(range(70, 150))
 
 
+def brute_stretches(agree, at=0):
+    score = lambda i, j: sum(1 if x else -4 for x in agree[i:j])
+    best = max(((score(i, j), -j, i) for i in range(len(agree)) for j in range(i + 1, len(agree) + 1)), default=(0, 0, 0))
+    if best[0] <= 0:
+        return []
+    i, j = best[2], -best[1]
+    return [(at + i, at + j)] * (j - i >= 50) + brute_stretches(agree[:i], at) + brute_stretches(agree[j:], at + j)
+
+
+def test_stretches_beside_a_short_best_one():
+    edited = [k not in (12, 27, 42) for k in range(55)]
+    chain = [True] * 45 + [False] * 15 + edited
+    assert passages.stretches(np.array(chain)) == [(60, 115)]
+    rng = random.Random(8)
+    for _ in range(12):
+        agree = [rng.random() < p for p in rng.choices((0.1, 0.9, 0.97, 1.0), k=3) for _ in range(rng.randint(10, 55))]
+        assert sorted(passages.stretches(np.array(agree))) == sorted(brute_stretches(agree))
+    words = prose(800, 115).split()
+    copy = [w if x else f"e{k}" for k, (w, x) in enumerate(zip(words, chain))]
+    x, y = (passages.word_hashes(" ".join(w)) for w in (copy, words))
+    at = [k for k in range(112) if all(chain[k : k + 4])]
+    assert passages.aligned(x, {"words": y.view(np.int64), "at": at, "src_at": at}) == [(60, 115, 60, 115, pytest.approx(52 / 55))]
+
+
 def brute_repeats(texts):
     raws = [(t or "").encode() for t in texts]
     seen = {}
