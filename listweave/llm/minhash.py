@@ -4,10 +4,10 @@ Texts are lower-cased (A-Z) and cut at ASCII white space; a text's set holds its
 distinct shingles of five words (a shorter text is one shingle). Texts with the
 same set are one class. A class is posted under each pair of coordinate and
 value of its signature. Two sets with a similarity of 0.85 agree in 27 of 32
-coordinates on average and in fewer than ``MATCHES`` = 16 once in a million, so
-a pair is retained from that many on. Rare postings come first: two classes
-that agree in 16 coordinates must meet in the rarest ``shared - 15`` of each
-(the prefix), so the long postings are skipped and only looked up for pairs
+coordinates on average and in fewer than 16 less than once in a million
+(``matches``; 14 for a similarity of 0.8), so a pair is retained from that many
+on. Rare postings come first: two classes that agree in 16 coordinates must
+meet in the rarest ``shared - 15`` of each (the prefix), so the long postings are skipped and only looked up for pairs
 that met. Retained pairs are confirmed on the full sets.
 
 A posting is not expanded into pairs. First each of its classes is compared with
@@ -27,6 +27,7 @@ and stays. An empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pandas as pd
@@ -38,11 +39,14 @@ from .common import stash
 from .components import components
 
 WORDS = 5
-COORDINATES, MATCHES = 32, 16
+COORDINATES = 32
 #: Coordinates of a band of the first comparison.
 BAND = 8
-#: Links need 100 * intersection >= SIMILARITY * union.
-SIMILARITY = 85
+#: Links need 100 * intersection >= similarity * union: that of the query, and
+#: that of a pipeline's stage.
+SIMILARITY, STAGE_SIMILARITY = 85, 80
+#: The share of pairs at the very similarity that may agree in too few coordinates.
+MISSED = 2e-6
 MEMORY = 150_000
 _RNG = np.random.default_rng(20240607)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -121,25 +125,39 @@ def described(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     return docs.select(key, udf(F.col(text)).alias("_d")).select(key, "_d.*")
 
 
-def _similar(a: pd.Series, b: pd.Series) -> pd.Series:
+def matches(similarity: int) -> int:
+    """Coordinates that all but MISSED of the pairs of this similarity agree in."""
+    p, missed, k = similarity / 100, 0.0, 0
+    while k < COORDINATES:
+        missed += math.comb(COORDINATES, k) * p**k * (1 - p) ** (COORDINATES - k)
+        if missed > MISSED:
+            break
+        k += 1
+    return max(k, 1)
+
+
+def _similar(similarity: int):
     def one(x, y):
         x, y = shingles(x), shingles(y)
         both = np.intersect1d(x, y, assume_unique=True).size
-        return bool(both) and 100 * both >= SIMILARITY * (len(x) + len(y) - both)
+        return bool(both) and 100 * both >= similarity * (len(x) + len(y) - both)
+
+    def of(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([one(x, y) for x, y in zip(a, b)], dtype=bool)
 
-    return pd.Series([one(x, y) for x, y in zip(a, b)], dtype=bool)
+    return F.pandas_udf(of, "boolean")
 
 
-def _retained(pairs: DataFrame, reps: DataFrame) -> DataFrame:
-    """Pairs whose signatures agree in at least MATCHES coordinates."""
+def _retained(pairs: DataFrame, reps: DataFrame, similarity: int) -> DataFrame:
+    """Pairs whose signatures agree in enough coordinates."""
     of = lambda x: reps.select(F.col("rep").alias(x), F.col("signature").alias(f"s{x}"))
     same = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
-    return pairs.join(of("a"), "a").join(of("b"), "b").filter(same >= MATCHES).select("a", "b")
+    return pairs.join(of("a"), "a").join(of("b"), "b").filter(same >= matches(similarity)).select("a", "b")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+def _confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str, similarity: int) -> DataFrame:
     """Pairs that are similar on the full sets."""
-    udf = F.pandas_udf(_similar, "boolean")
+    udf = _similar(similarity)
     of = lambda x: docs.select(F.col(key).alias(x), F.col(text).alias(f"t{x}"))
     return pairs.join(of("a"), "a").join(of("b"), "b").filter(udf("ta", "tb")).select("a", "b").distinct()
 
@@ -158,8 +176,9 @@ def _own_shingles(open_: DataFrame, docs: DataFrame, key: str, text: str) -> Dat
     return stash(alone.join(several, "rep", "left_anti").groupBy("rep").agg(F.count("*").alias("own")), "own")
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: int = SIMILARITY) -> DataFrame:
     """(key, n_shingles, component_id) of every row of ``docs``."""
+    least = matches(similarity)
     docs = docs.select(key, text)
     rows = stash(described(docs, key, text), "signatures")
     classes = stash(rows.filter(F.col("set_key").isNotNull() & F.col(key).isNotNull()).groupBy("set_key").agg(F.min(key).alias("rep"), F.count("*").alias("_n")), "classes")
@@ -170,10 +189,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     post = reps.select("rep", "n_shingles", F.posexplode("signature").alias("k", "v")).select("rep", "n_shingles", F.xxhash64("k", "v").alias("post"))
     lengths = stash(post.groupBy("post").agg(F.count("*").alias("n")).filter("n > 1"), "postings")
     met = post.join(lengths, "post")
-    # the prefix: of a class's postings that others share, all but the MATCHES - 1 longest
+    # the prefix: of a class's postings that others share, all but the least - 1 longest
     ranked = met.groupBy("rep", "n_shingles").agg(F.sort_array(F.collect_list(F.struct("n", "post"))).alias("shared"))  # at most COORDINATES each
-    prefix = F.slice("shared", 1, F.greatest(F.size("shared") - (MATCHES - 1), F.lit(0)))
-    postings = stash(ranked.filter(F.size("shared") >= MATCHES).select("rep", "n_shingles", F.explode(prefix["post"]).alias("post")), "prefix")
+    prefix = F.slice("shared", 1, F.greatest(F.size("shared") - (least - 1), F.lit(0)))
+    postings = stash(ranked.filter(F.size("shared") >= least).select("rep", "n_shingles", F.explode(prefix["post"]).alias("post")), "prefix")
 
     smallest = stash(postings.groupBy("post").agg(F.min("rep").alias("b")), "smallest")
     bands = F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(COORDINATES - BAND), F.lit(BAND)), lambda k: F.xxhash64(F.slice("signature", k + 1, BAND))))
@@ -181,7 +200,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     closest = stash(banded.groupBy("post").agg(F.min("rep").alias("b"), F.count("*").alias("n")).filter("n > 1").drop("n"), "bands")
     stars = postings.select("rep", "post").join(smallest, "post").union(banded.join(closest, "post").select("post", "rep", "b"))
     stars = stars.filter("rep <> b").select(F.col("rep").alias("a"), "b").distinct()
-    links = stash(_confirmed(_retained(stars, reps), docs, key, text), "links")
+    links = stash(_confirmed(_retained(stars, reps, similarity), docs, key, text, similarity), "links")
     first = components(links)
 
     of = first.select(F.col("node").alias("rep"), "component")
@@ -191,17 +210,17 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     open_rows = stash(grouped.join(mixed_posts, "post"), "open")
     own = _own_shingles(open_rows.select("rep").distinct(), docs, key, text)
     bounded = open_rows.join(own, "rep", "left").withColumn("common", F.col("n_shingles") - F.coalesce("own", F.lit(0)))
-    open_rows = stash(bounded.filter(100 * F.col("common") >= SIMILARITY * F.col("n_shingles")), "open")
+    open_rows = stash(bounded.filter(100 * F.col("common") >= similarity * F.col("n_shingles")), "open")
     strays = open_rows.filter("component <> home").select("post", F.col("rep").alias("a"), F.col("component").alias("ca"), F.col("n_shingles").alias("na"), F.col("common").alias("ma"))
     others = open_rows.select("post", F.col("rep").alias("b"), F.col("component").alias("cb"), F.col("n_shingles").alias("nb"), F.col("common").alias("mb"), (F.col("component") == F.col("home")).alias("at_home"))
     across = (
         strays.join(others, "post")
         .filter((F.col("ca") != F.col("cb")) & (F.col("at_home") | (F.col("a") < F.col("b"))))
-        .filter(100 * F.least("ma", "mb") >= SIMILARITY * (F.col("na") + F.col("nb") - F.least("ma", "mb")))
+        .filter(100 * F.least("ma", "mb") >= similarity * (F.col("na") + F.col("nb") - F.least("ma", "mb")))
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct()
     )
-    more = stash(_confirmed(_retained(across, reps), docs, key, text), "links")
+    more = stash(_confirmed(_retained(across, reps, similarity), docs, key, text, similarity), "links")
     final = components(links.union(more)).select(F.col("node").alias("rep"), "component")
     return (
         placed.join(final, "rep", "left")
@@ -209,8 +228,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     )
 
 
-def keep_one(docs: DataFrame, key: str = "doc_id") -> DataFrame:
+def keep_one(docs: DataFrame, key: str = "doc_id", similarity: int = STAGE_SIMILARITY) -> DataFrame:
     """``docs`` without those that a smaller ``key`` of their component stands for."""
-    found = near_duplicates(docs, key)
+    found = near_duplicates(docs, key, similarity=similarity)
     gone = found.filter(F.col(key) != F.col("component_id")).select(F.col(key).alias("_gone")).distinct()
     return docs.join(gone, docs[key] == F.col("_gone"), "left_anti")
