@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, licenses, merkle, minhash, packing, passages, suffixes, toxicity, vectors
+from . import bpe, chat, langid, licenses, merkle, minhash, packing, passages, repair, suffixes, toxicity, trie, vectors
 from .common import table
 
 
@@ -74,5 +76,23 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scanned(docs).select(*columns)
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_packing, op3_bpe, op4_suffixes, op5_language, op6_passages, op7_near_duplicates, op8_fingerprints, op9_vectors, op10_licenses)}
-ORACLES: dict[str, str] = {}
+def op11_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = chat.records_of(chat.with_trial(table(spark, sf_dir, "conversations")))
+    return chat.digests(chat.formatted(records, ["conv_id", "part"])).drop("records", "layouts")
+
+
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    found = repair.conversations(repair.repaired(repair.damaged(turns))).withColumnRenamed("conv_id", "_of")
+    every = turns.select("conv_id").distinct()
+    none = {"audit": "", "repaired_sha256": hashlib.sha256().hexdigest()}
+    filled = [F.coalesce(c, F.lit(none.get(c, 0))).alias(c) for c in found.columns[1:]]
+    return every.join(found, F.col("conv_id").eqNullSafe(F.col("_of")), "left").select("conv_id", *filled)
+
+
+def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.trie(trie.rebuilt(table(spark, sf_dir, "conversations")))
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_packing, op3_bpe, op4_suffixes, op5_language, op6_passages, op7_near_duplicates, op8_fingerprints, op9_vectors, op10_licenses, op11_chat, op12_repair, op13_trie)}
+ORACLES: dict[str, str] = {"op11_chat": chat.ORACLE, "op12_repair": repair.ORACLE, "op13_trie": trie.ORACLE}
