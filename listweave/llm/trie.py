@@ -19,6 +19,7 @@ not read, whatever their names."""
 from __future__ import annotations
 
 import hashlib
+from functools import partial
 from itertools import groupby
 from operator import itemgetter
 
@@ -168,7 +169,7 @@ def _shard_nodes(paths: list[tuple[bytes, list[int], int, int, str]]):
         yield upper, marks.get(slot), above, least[slot], depth, known, members[slot], children[slot], leaves[slot], saved[slot], size[slot], ends[slot] if upper else ends[slot] or _NONE
 
 
-def _nodes(rows):
+def _nodes(rows, most: int):
     """Nodes of the shards of a sorted stream of (path, sizes, members, smallest, ids)."""
     shard, turns = [], 0
     for path, those in groupby(rows, itemgetter(0)):
@@ -179,7 +180,7 @@ def _nodes(rows):
             smallest = low if smallest is None else min(smallest, low)
         shard.append((bytes(path), sizes, members, smallest, hashed.hexdigest()))
         turns += len(sizes) + 1
-        if turns >= SHARD_TURNS:
+        if turns >= most:
             yield from _shard_nodes(shard)
             shard, turns = [], 0
     if shard:
@@ -208,7 +209,7 @@ def _merged(nodes: DataFrame) -> DataFrame:
     return state
 
 
-def trie(paths: DataFrame) -> DataFrame:
+def trie(paths: DataFrame, shard_turns: int = SHARD_TURNS) -> DataFrame:
     """Every node of the prefix tree of ``paths`` (conv_id, path, sizes): its
     smallest member, depth, the parent's smallest member (root: null), members,
     children, leaves below, saved tokens below, and the hash of the ids of the
@@ -217,7 +218,7 @@ def trie(paths: DataFrame) -> DataFrame:
     alike = paths.groupBy("path", block.alias("block")).agg(F.first("sizes").alias("sizes"), F.count("*").alias("members"), F.min("conv_id").alias("least"), F.sort_array(F.collect_list("conv_id")).alias("ids"))
     parts = int(paths.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = alike.repartitionByRange(parts, "path").sortWithinPartitions("path", "block")
-    nodes = stash(streamed(ordered.select("path", "sizes", "members", "least", F.array_join("ids", ",").alias("ids")), _nodes, NODE), "nodes")
+    nodes = stash(streamed(ordered.select("path", "sizes", "members", "least", F.array_join("ids", ",").alias("ids")), partial(_nodes, most=shard_turns), NODE), "nodes")
     upper = _merged(nodes)
     names = upper.select(F.col("mark").alias("parent"), F.col("conv_id").alias("above"))
     columns = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", F.col("ends").alias("ends_sha256")]
