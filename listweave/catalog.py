@@ -8,10 +8,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from listweave.config import VENUE_MATCH_RATIO
+from listweave.functions import similarity
 from listweave.functions import text as texts
-from listweave.operators import extract, merge, normalize, present, rank, state
+from listweave.operators import extract, merge, normalize, present, rank, sources, state
 from listweave.tables import stash
-from listweave.testview import NOW, SETTINGS, literal_timestamp, oracle, raw
+from listweave.testview import NOW, SETTINGS, literal_timestamp, oracle, rated, raw
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -34,63 +36,114 @@ def _all(s: SparkSession, d: str) -> DataFrame:
     return normalize.normalized(raw(s, d), SETTINGS, literal_timestamp())
 
 
-def _kept(s: SparkSession, d: str) -> DataFrame:
-    """Stages are tables: what follows reads them instead of nesting their expressions."""
-    return stash(normalize.kept(_all(s, d)), "listings")
+def _table(s: SparkSession, d: str, *columns: str) -> DataFrame:
+    """The normalized rows as a table of their own: what follows reads it instead
+    of nesting the parsers, and its filters reach the scan."""
+    rows = _all(s, d)
+    return stash(rows.select(*columns) if columns else rows, "normalized")
+
+
+def _kept(s: SparkSession, d: str, *columns: str) -> DataFrame:
+    return normalize.kept(_table(s, d, *columns, *(["drop_reason"] if columns else [])))
 
 
 def _today():
     return F.lit(TODAY).cast("date")
 
 
+def _picked(rows: DataFrame, every: int) -> DataFrame:
+    """Ids of every so many listings: what users hid, pinned or got sent."""
+    return rows.filter(F.col("ord") % every == 0).select("id").distinct()
+
+
 def _hidden():
-    return F.col("ord") % 13 == 0
+    return F.col("hidden")
 
 
 def _categorized(s, d):
-    return stash(rank.categorized(stash(rank.with_text(normalize.kept(_all(s, d))), "texts"), SETTINGS), "categorized")
+    rows = _kept(s, d)
+    return stash(rank.flagged(rank.categorized(rank.with_text(rows), SETTINGS), hidden=_picked(rows, 13)), "categorized")
 
 
-def _passed(s, d):
-    return _categorized(s, d).filter(rank.exclusion(SETTINGS, _hidden()).isNull())
+def _scored(s, d):
+    every = _table(s, d)
+    rows = normalize.kept(every)
+    return _scored_of(rows, state.sent_ids(rows, state.purged(_ledger_of(every), _today())))
 
 
-def _scored(s, d):
-    rows = rank.scored(_passed(s, d), SETTINGS, literal_timestamp(), F.col("ord") % 11 == 0, F.col("ord") % 101 == 0)
-    return stash(rows.drop("haystack"), "scored")
+def _scored_of(rows: DataFrame, sent: DataFrame) -> DataFrame:
+    some = stash(rank.flagged(rank.categorized(rank.with_text(rows), SETTINGS), hidden=_picked(rows, 13)), "categorized")
+    passed = rank.flagged(some.filter(rank.exclusion(SETTINGS, _hidden()).isNull()), sent=sent, pinned=_picked(rows, 101))
+    return stash(rank.scored(passed, SETTINGS, literal_timestamp(), F.col("sent"), F.col("pinned")).drop("haystack"), "scored")
+
+
+def _ledger_of(every: DataFrame) -> DataFrame:
+    """A ledger written two days ago: every eleventh listing of all, also past ones."""
+    rows = every.filter("ord % 11 = 0 AND id IS NOT NULL")
+    return state.recorded(rows.sparkSession.createDataFrame([], "id string, t string, d date, s date, u date"), rows, F.lit("2024-01-08").cast("date"))
 
 
 def _final(s, d):
     return _scored(s, d).filter(F.col("score") >= SETTINGS.filters.min_score)
 
 
+def _viewed(s, d) -> tuple[DataFrame, DataFrame]:
+    """The full view, and the ids of what was sent before."""
+    every = _table(s, d)
+    rows = normalize.kept(every)
+    ids = stash(state.sent_ids(rows, state.purged(_ledger_of(every), _today())), "sent")
+    return present.grouped(_final_of(rows, ids), SETTINGS), ids
+
+
+def _final_of(rows: DataFrame, sent: DataFrame) -> DataFrame:
+    return _scored_of(rows, sent).filter(F.col("score") >= SETTINGS.filters.min_score)
+
+
 # DuckDB: categories, exclusions, scores, groups, each a CTE over the one before.
 _WORD = "regexp_matches(txt, '(^|[^\\pL\\pN_]){}($|[^\\pL\\pN_])')".format
+VENUE_TOKENS = "trim(regexp_replace(lower(strip_accents({})), '[^0-9a-z]+', ' ', 'g'))".format
+#: Venue rules: (place, rule, points) of the one category that has any.
+RULES_SQL = "(VALUES " + ", ".join(f"({k}, '{n}', {w}::DOUBLE)" for k, (n, w) in enumerate(SETTINGS.categories["shop"].venue_prior.items())) + ") AS rules(place, rule, points)"
 CAT = f"""
+places AS MATERIALIZED (SELECT DISTINCT {VENUE_TOKENS('venue_name')} AS a, {VENUE_TOKENS('rule')} AS b FROM (SELECT DISTINCT venue_name FROM listing WHERE venue_name IS NOT NULL), {RULES_SQL}),
+{rated('places', 'placed', 85)},
+priors AS (SELECT venue_name, arg_min(points, place) AS prior FROM (SELECT DISTINCT venue_name FROM listing) v JOIN placed p ON p.a = {VENUE_TOKENS('venue_name')} JOIN {RULES_SQL} ON p.b = {VENUE_TOKENS('rule')} WHERE ratio >= 85 GROUP BY venue_name),
 texts AS (SELECT *, lower(strip_accents(title || ' ' || coalesce(description, ''))) AS txt FROM listing),
 points AS (SELECT *,
   CASE WHEN {_WORD('jazz')} THEN 3.0::DOUBLE ELSE 0 END + CASE WHEN regexp_matches(txt, '(^|[^\\pL\\pN_])koncert') THEN 2 ELSE 0 END
     + CASE WHEN contains(url, '/e/u') THEN 3 ELSE 0 END + CASE WHEN native_category = 'click' THEN 4 ELSE 0 END AS music,
-  CASE WHEN {_WORD('the')} THEN 0.5::DOUBLE ELSE 0 END + CASE WHEN list_contains(string_split(venue_norm, ' '), 'asia') THEN 2.5 ELSE 0 END
+  CASE WHEN {_WORD('the')} THEN 0.5::DOUBLE ELSE 0 END + coalesce(prior, 0)
     + CASE WHEN native_category = 'purchase' THEN 4 ELSE 0 END AS shop,
-  CASE WHEN native_category = 'view' THEN 4.0::DOUBLE ELSE 0 END AS walk FROM texts),
+  CASE WHEN native_category = 'view' THEN 4.0::DOUBLE ELSE 0 END AS walk FROM texts LEFT JOIN priors USING (venue_name)),
 totals AS (SELECT ord, 'music' AS name, 0 AS place, music AS total FROM points UNION ALL SELECT ord, 'shop', 1, shop FROM points UNION ALL SELECT ord, 'walk', 2, walk FROM points),
 named_cats AS (SELECT ord, list(name ORDER BY total DESC, place) AS cats FROM totals WHERE total >= 2 GROUP BY ord),
 cat AS (SELECT p.*, coalesce(n.cats, ['egyeb']) AS categories FROM points p LEFT JOIN named_cats n USING (ord))"""
+HIDDEN = "hidden AS (SELECT DISTINCT id FROM listing WHERE ord % 13 = 0)"
 FILTERED = f"""
-reasons AS (SELECT *, CASE WHEN ord % 13 = 0 THEN 'hidden_by_override' WHEN city <> 'Budapest' THEN 'geo_city_mismatch' WHEN distance_km > 6 THEN 'geo_too_far'
+{HIDDEN},
+reasons AS (SELECT *, CASE WHEN id IN (SELECT id FROM hidden) THEN 'hidden_by_override' WHEN city <> 'Budapest' THEN 'geo_city_mismatch' WHEN distance_km > 6 THEN 'geo_too_far'
   WHEN NOT list_has_any(categories, ['music', 'walk', 'egyeb']) THEN 'category_not_allowed' WHEN price_min > 9000 THEN 'price_too_high'
   WHEN {_WORD('scum')} THEN 'blocked_keyword' END AS reason FROM cat)"""
+LEDGER = f"""
+ledger AS (SELECT id, title_norm AS t, effective_date AS d, DATE '2024-01-08' AS s, coalesce(CAST("end" AS DATE), effective_date) AS u FROM listing_all WHERE ord % 11 = 0 AND id IS NOT NULL),
+protected AS (SELECT * FROM ledger WHERE u >= DATE '{TODAY}')"""
+SENT = f"""
+{LEDGER},
+retold AS MATERIALIZED (SELECT DISTINCT l.title_norm AS a, g.t AS b FROM listing l JOIN protected g ON g.d = l.effective_date),
+{rated('retold', 'rated', 92)},
+sent AS MATERIALIZED (SELECT id FROM protected UNION SELECT l.id FROM listing l JOIN rated r ON r.a = l.title_norm JOIN protected g ON g.d = l.effective_date AND g.t = r.b WHERE ratio >= 92)"""
 SCORED = f"""
+{SENT},
+pinned AS (SELECT DISTINCT id FROM listing WHERE ord % 101 = 0),
 terms AS (SELECT *,
-  CASE categories[1] WHEN 'music' THEN 3.0::DOUBLE WHEN 'shop' THEN -1 ELSE 0 END AS category_weight,
+  CASE categories[1] WHEN 'music' THEN 3.0::DOUBLE WHEN 'shop' THEN -1 WHEN 'walk' THEN 1 ELSE 0 END AS category_weight,
   CASE WHEN {_WORD('jazz')} THEN 1.5::DOUBLE ELSE 0 END + CASE WHEN {_WORD('koncert')} THEN 0.5 ELSE 0 END AS keyword_boosts,
   CASE WHEN is_free THEN 2.0::DOUBLE ELSE 0 END AS free_bonus, CASE WHEN price_min < 3000 THEN 1.0::DOUBLE ELSE 0 END AS cheap_bonus,
   CASE WHEN district = 'XI.' THEN 1.25::DOUBLE ELSE 0 END AS same_district_bonus, coalesce(-(least(distance_km, 8.0) * 0.25::DOUBLE), 0) AS distance_penalty,
-  CASE WHEN ord % 11 <> 0 THEN 0.75::DOUBLE ELSE 0 END AS novelty_bonus,
+  CASE WHEN id NOT IN (SELECT id FROM sent) THEN 0.75::DOUBLE ELSE 0 END AS novelty_bonus,
   CASE WHEN "start" BETWEEN TIMESTAMP '{NOW}' AND TIMESTAMP '{NOW}' + INTERVAL 3 DAY THEN 1.5::DOUBLE ELSE 0 END AS soon_bonus,
   CASE isodow(effective_date) WHEN 5 THEN 0.5::DOUBLE WHEN 6 THEN 1 WHEN 7 THEN -0.5 ELSE 0 END AS weekday_weight,
-  CASE WHEN ord % 101 = 0 THEN 100.0::DOUBLE ELSE 0 END AS pinned_bonus FROM reasons WHERE reason IS NULL),
+  CASE WHEN id IN (SELECT id FROM pinned) THEN 100.0::DOUBLE ELSE 0 END AS pinned_bonus FROM reasons WHERE reason IS NULL),
 scored AS (SELECT *, category_weight + keyword_boosts + free_bonus + cheap_bonus + same_district_bonus + distance_penalty + novelty_bonus + soon_bonus + weekday_weight + pinned_bonus AS score,
   categories[1] AS category FROM terms),
 final AS (SELECT * FROM scored WHERE score >= 2)"""
@@ -99,14 +152,18 @@ slots AS (SELECT *, count(*) OVER (PARTITION BY venue_name, effective_date, cate
   row_number() OVER (PARTITION BY venue_name, effective_date, category ORDER BY score DESC, ord) AS rk FROM final WHERE venue_name IS NOT NULL)"""
 GROUPED = _RANKED + """,
 view AS (
-  SELECT min(ord) AS ord, venue_name || ' — ' || count(*) || ' program' AS title, venue_name, effective_date, category, min("start") AS "start", max(score) AS score,
+  SELECT min(ord) AS ord, substr(sha256('group|' || any_value(venue_norm) || '|' || effective_date || '|' || category), 1, 16) AS id, venue_name || ' — ' || count(*) || ' program' AS title,
+    venue_name, effective_date, category, list_distinct_first(flatten(list(categories ORDER BY ord))) AS categories, min("start") AS "start", min_by(start_time_known, rk) AS start_time_known,
+    first(district ORDER BY rk) AS district, first(price_min ORDER BY rk) AS price_min, min_by(is_free, rk) AS is_free, max(score) AS score, min_by(pinned_bonus, rk) AS pinned_bonus,
     min_by(url, rk) AS url, string_agg(title, ', ' ORDER BY rk) FILTER (rk <= 3) AS description, count(*) AS group_size
   FROM slots WHERE n >= 4 GROUP BY venue_name, effective_date, category
-  UNION ALL SELECT ord, title, venue_name, effective_date, category, "start", score, url, description, 1 FROM slots WHERE n < 4 AND rk <= 3
-  UNION ALL SELECT ord, title, venue_name, effective_date, category, "start", score, url, description, 1 FROM final WHERE venue_name IS NULL)"""
+  UNION ALL SELECT ord, id, title, venue_name, effective_date, category, categories, "start", start_time_known, district, price_min, is_free, score, pinned_bonus, url, description, 1 FROM slots WHERE n < 4 AND rk <= 3
+  UNION ALL SELECT ord, id, title, venue_name, effective_date, category, categories, "start", start_time_known, district, price_min, is_free, score, pinned_bonus, url, description, 1 FROM final WHERE venue_name IS NULL)""".replace(
+    "list_distinct_first(flatten(list(categories ORDER BY ord)))", "list_reduce([[]::VARCHAR[]] || list(categories ORDER BY ord), lambda a, c: a || list_filter(c, lambda x: NOT list_contains(a, x)))"
+)
 LIMITED = GROUPED + """,
-best AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY score DESC, ord) AS rank FROM view),
-limited AS (SELECT * FROM best WHERE rank <= 5 ORDER BY score DESC, ord LIMIT 25)"""
+best AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY score DESC, ord) AS rank, min(ord) OVER (PARTITION BY category) AS bucket FROM view WHERE id NOT IN (SELECT id FROM sent)),
+limited AS (SELECT * FROM best WHERE rank <= 5 ORDER BY score DESC, bucket DESC, rank DESC LIMIT 6)"""
 
 
 def _sql(select: str, *ctes: str) -> str:
@@ -116,9 +173,9 @@ def _sql(select: str, *ctes: str) -> str:
 # --- normalize -------------------------------------------------------------
 
 
-@query(_sql("SELECT * EXCLUDE (description) FROM listing_all"))
+@query(_sql("SELECT * FROM listing_all"))
 def normalize_listings(s, d):
-    return _all(s, d).drop("description")
+    return _all(s, d)
 
 
 def _columns(name: str, *columns: str) -> None:
@@ -137,6 +194,8 @@ _columns("normalize_title", "title_norm")
 _columns("normalize_venue", "venue_norm")
 _columns("normalize_url", "url_norm")
 _columns("haversine_km", "distance_km")
+_columns("clean_description", "description")
+_columns("series_flag", "is_series")
 
 
 @query("SELECT doc_id, sha256(lower(strip_accents(text))) AS folded FROM documents")
@@ -150,7 +209,7 @@ def venue_tokens(s, d):
 
 
 def _dropped(name: str, reason: str) -> None:
-    QUERIES[name] = lambda s, d: _all(s, d).filter(F.col("drop_reason") == reason).select("ord", "source_id")
+    QUERIES[name] = lambda s, d: _table(s, d, "ord", "source_id", "drop_reason").filter(F.col("drop_reason") == reason).select("ord", "source_id")
     ORACLES[name] = _sql(f"SELECT ord, source_id FROM listing_all WHERE drop_reason = '{reason}'")
 
 
@@ -161,16 +220,44 @@ _dropped("drop_unparseable_start", "unparseable_start")
 
 @query(_sql("SELECT source_id, count(*) AS n FROM listing_all WHERE drop_reason = 'dropped_past' GROUP BY source_id"))
 def past_by_source(s, d):
-    return _all(s, d).filter("drop_reason = 'dropped_past'").groupBy("source_id").agg(F.count("*").alias("n"))
+    return _table(s, d, "source_id", "drop_reason").filter("drop_reason = 'dropped_past'").groupBy("source_id").agg(F.count("*").alias("n"))
 
 
 # --- categories, filter, score -----------------------------------------------
 
 
-@query(_sql("SELECT ord, name, total FROM totals", CAT))
+_SIGNALS = {
+    ("music", "keyword:jazz"): f"CASE WHEN {_WORD('jazz')} THEN 3 END", ("music", "keyword:koncert"): "CASE WHEN regexp_matches(txt, '(^|[^\\pL\\pN_])koncert') THEN 2 END",
+    ("music", "url_pattern"): "CASE WHEN contains(url, '/e/u') THEN 3 END", ("music", "native_type"): "CASE WHEN native_category = 'click' THEN 4 END",
+    ("shop", "keyword:the"): f"CASE WHEN {_WORD('the')} THEN 0.5 END", ("shop", "venue_prior"): "prior", ("shop", "native_type"): "CASE WHEN native_category = 'purchase' THEN 4 END",
+    ("walk", "native_type"): "CASE WHEN native_category = 'view' THEN 4 END",
+}
+
+
+@query(_sql("SELECT * FROM (" + " UNION ALL ".join(f"SELECT ord, '{c}' AS name, {c} AS total, '{n}' AS signal, CAST({x} AS DOUBLE) AS weight FROM points" for (c, n), x in _SIGNALS.items()) + ") WHERE weight IS NOT NULL", CAT))
 def explain_category(s, d):
     rows = rank.explained(rank.with_text(_kept(s, d)), SETTINGS)
-    return rows.select("ord", F.explode("category_scores").alias("c")).select("ord", "c.name", "c.total")
+    scores = rows.select("ord", F.explode("category_scores").alias("c")).select("ord", "c.name", "c.total", F.explode("c.signals").alias("s"))
+    return scores.select("ord", "name", "total", "s.signal", "s.weight")
+
+
+@query(_sql("SELECT venue_name, prior AS weight FROM priors WHERE prior IS NOT NULL", CAT))
+def venue_prior_join(s, d):
+    return rank.venue_priors(_kept(s, d, "venue_name"), rank.venue_rules(s, SETTINGS)).select("venue_name", "weight")
+
+
+@query(_sql(f"SELECT 'shop' AS category, rule FROM {RULES_SQL} WHERE {VENUE_TOKENS('rule')} NOT IN (SELECT b FROM placed WHERE ratio >= 85)", CAT))
+def unmatched_priors(s, d):
+    return rank.unmatched_rules(_kept(s, d, "venue_name"), rank.venue_rules(s, SETTINGS))
+
+
+@query(_sql("SELECT a.venue_name AS a, b.venue_name AS b FROM (SELECT DISTINCT venue_name FROM listing) a, (SELECT DISTINCT venue_name FROM listing) b, met WHERE a.venue_name < b.venue_name AND met.a = " + VENUE_TOKENS("a.venue_name") + " AND met.b = " + VENUE_TOKENS("b.venue_name") + " AND ratio >= 85",
+    f"halls AS (SELECT DISTINCT {VENUE_TOKENS('a.venue_name')} AS a, {VENUE_TOKENS('b.venue_name')} AS b FROM (SELECT DISTINCT venue_name FROM listing) a, (SELECT DISTINCT venue_name FROM listing) b WHERE a.venue_name < b.venue_name)", rated("halls", "met", 85)))
+def venue_matches(s, d):
+    names = _kept(s, d, "venue_name").filter("venue_name IS NOT NULL").select("venue_name", texts.venue_tokens("venue_name").alias("text")).distinct()
+    alike = similarity.similar(names.select("text"), names.select("text"), VENUE_MATCH_RATIO)
+    named = lambda n: names.select(F.col("venue_name").alias(f"name_{n}"), F.col("text").alias(n))
+    return alike.join(named("a"), "a").join(named("b"), "b").filter("name_a < name_b").select(F.col("name_a").alias("a"), F.col("name_b").alias("b"))
 
 
 @query(_sql("SELECT ord, array_to_string(categories, ',') AS categories FROM cat", CAT))
@@ -197,10 +284,10 @@ def exclusion_counts(s, d):
 def _only(name: str, keep, reason: str) -> None:
     """One test of the filter by itself."""
     QUERIES[name] = lambda s, d: _categorized(s, d).filter(keep()).select("ord")
-    ORACLES[name] = _sql(f"SELECT ord FROM cat WHERE NOT coalesce({reason}, false)", CAT)
+    ORACLES[name] = _sql(f"SELECT ord FROM cat WHERE NOT coalesce({reason}, false)", CAT, HIDDEN)
 
 
-_only("hidden_filter", lambda: ~_hidden(), "ord % 13 = 0")
+_only("hidden_filter", lambda: ~_hidden(), "id IN (SELECT id FROM hidden)")
 _only("geo_distance", lambda: F.coalesce(F.col("distance_km") <= 6.0, F.lit(True)), "distance_km > 6")
 _only("geo_city", lambda: F.coalesce(texts.fold_text("city") == "budapest", F.lit(True)), "city <> 'Budapest'")
 _only("category_allow", lambda: F.arrays_overlap("categories", F.array(*map(F.lit, SETTINGS.filters.categories))), "NOT list_has_any(categories, ['music', 'walk', 'egyeb'])")
@@ -229,16 +316,25 @@ def min_score(s, d):
 
 # --- groups, limits, sections ---------------------------------------------------
 
-_VIEW = "ord, title, venue_name, effective_date, category, \"start\", round(score, 6) AS score, url, group_size"
-
-
-def _shown(rows: DataFrame) -> DataFrame:
-    return rows.select("ord", "title", "venue_name", "effective_date", "category", "start", F.round("score", 6).alias("score"), "url", "group_size")
+_VIEW = """id, title, url, "start", start_time_known, effective_date, venue_name AS venue, district, array_to_string(categories, ',') AS categories, price_min, is_free, round(score - pinned_bonus, 6) AS score, group_size"""
 
 
 @query(_sql(f"SELECT {_VIEW} FROM view", CAT, FILTERED, SCORED, GROUPED))
 def publish_full(s, d):
-    return _shown(present.grouped(_final(s, d), SETTINGS))
+    rows = present.published(present.grouped(_final(s, d), SETTINGS))
+    return rows.withColumns({"score": F.round("score", 6), "categories": F.array_join("categories", ",")})
+
+
+@query(_sql('SELECT id, "start", round(score - pinned_bonus, 6) AS score, row_number() OVER (ORDER BY score DESC, "start", ord) AS place FROM view', CAT, FILTERED, SCORED, GROUPED))
+def site_order(s, d):
+    view = stash(present.grouped(_final(s, d), SETTINGS), "view")
+    placed = sources.numbered(view, ["score", "start", "ord"], [True, False, False], "place")
+    return placed.select("id", "start", F.round(F.col("score") - F.col("pinned_bonus"), 6).alias("score"), "place")
+
+
+@query(_sql("SELECT effective_date, count(*) AS n FROM view GROUP BY effective_date", CAT, FILTERED, SCORED, GROUPED))
+def day_separators(s, d):
+    return present.day_counts(present.grouped(_final(s, d), SETTINGS))
 
 
 @query(_sql("SELECT title, description, group_size, round(score, 6) AS score FROM view WHERE group_size > 1", CAT, FILTERED, SCORED, GROUPED))
@@ -258,12 +354,18 @@ def venue_cap(s, d):
 
 @query(_sql("SELECT ord, category, rank FROM limited", CAT, FILTERED, SCORED, LIMITED))
 def email_delta_rows(s, d):
-    return present.limited(present.grouped(_final(s, d), SETTINGS), SETTINGS).select("ord", "category", "rank")
+    return _delta(s, d).select("ord", "category", "rank")
+
+
+def _delta(s, d):
+    """What the mail shows: the full view without what was sent, cut to its limits."""
+    view, sent = _viewed(s, d)
+    return present.limited(state.unsent(view, sent), SETTINGS)
 
 
 @query(_sql("SELECT category, CASE category WHEN 'music' THEN 1 WHEN 'shop' THEN 2 WHEN 'walk' THEN 3 ELSE 5 END AS section, count(*) AS n FROM limited GROUP BY 1, 2", CAT, FILTERED, SCORED, LIMITED))
 def section_order(s, d):
-    rows = present.sectioned(present.limited(present.grouped(_final(s, d), SETTINGS), SETTINGS), SETTINGS)
+    rows = present.sectioned(_delta(s, d), SETTINGS)
     return rows.groupBy("category", "section").agg(F.count("*").alias("n"))
 
 
@@ -282,7 +384,7 @@ def digest_counters(s, d):
 
 # --- interactive view -------------------------------------------------------------
 
-_CONDITIONS = "list_has_any(categories, ['music'])", "effective_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-14'", "is_free", "coalesce(district = 'XI.', false)"
+_CONDITIONS = "list_has_any(categories, ['music'])", "effective_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-14'", "(is_free OR coalesce(price_min = 0, false))", "coalesce(district = 'XI.', false)"
 
 
 def _conditions():
@@ -294,7 +396,7 @@ def apply_filters(s, d):
     return present.applied(_final(s, d), _conditions()).select("ord")
 
 
-@query(_sql(" UNION ALL ".join(f"SELECT '{n}' AS without, count(*) FILTER ({' AND '.join(c for j, c in enumerate(_CONDITIONS) if j != k)}) AS n FROM final" for k, n in enumerate(("categories", "dates", "free", "district"))), CAT, FILTERED, SCORED))
+@query(_sql("SELECT without, n FROM (SELECT *, row_number() OVER (ORDER BY n DESC, k) AS r FROM (" + " UNION ALL ".join(f"SELECT {k} AS k, '{n}' AS without, count(*) FILTER ({' AND '.join(c for j, c in enumerate(_CONDITIONS) if j != k)}) AS n FROM final" for k, n in enumerate(("categories", "dates", "free", "district"))) + ") WHERE n > 0) WHERE r <= 3", CAT, FILTERED, SCORED))
 def relax_suggestions(s, d):
     return present.relaxed(_final(s, d), _conditions())
 
@@ -315,79 +417,214 @@ _CLUSTERS = """
 lead AS (SELECT *, CASE source_id WHEN 's0' THEN 10 WHEN 's1' THEN 20 WHEN 's2' THEN 30 ELSE 1000 END AS p, {} AS cluster FROM listing),
 flagged AS (SELECT *, coalesce(p < min(p) OVER (PARTITION BY cluster ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS leads FROM lead),
 ordered AS (SELECT *, CASE WHEN leads THEN 1000000000000 + ord ELSE -ord END AS pref FROM flagged),
-merged AS (SELECT cluster, min(ord) AS ord, count(*) AS records, array_to_string(list_sort(list(DISTINCT source_id)), ',') AS source_ids,
+merged AS (SELECT cluster, min(ord) AS ord, count(*) AS records,
+  list_reduce([[]::VARCHAR[]] || list([source_id] ORDER BY pref DESC), lambda a, c: a || list_filter(c, lambda x: NOT list_contains(a, x))) AS source_ids,
+  list_reduce([[]::VARCHAR[]] || list([url] ORDER BY pref DESC), lambda a, c: a || list_filter(c, lambda x: NOT list_contains(a, x))) AS urls,
+  list_reduce([[]::VARCHAR[]] || list([native_category] ORDER BY pref DESC), lambda a, c: a || list_filter(c, lambda x: NOT list_contains(a, x))) AS native_categories,
   arg_max(title, pref) AS title, arg_max(source_id, pref) AS base_source, arg_max(venue_name, pref) FILTER (venue_name IS NOT NULL) AS venue_name,
-  arg_max(district, pref) FILTER (district IS NOT NULL) AS district, arg_max("end", pref) FILTER ("end" IS NOT NULL) AS "end",
-  arg_max(price_min, pref) FILTER (price_min IS NOT NULL) AS price_min, arg_max(is_free, pref) FILTER (price_min IS NOT NULL) AS is_free,
-  arg_max(distance_km, pref) FILTER (lat IS NOT NULL) AS distance_km, length(arg_max(description, (length(description), pref))) AS description_length
+  arg_max(district, pref) FILTER (district IS NOT NULL) AS district, arg_max("end", pref) FILTER ("end" IS NOT NULL) AS "end", arg_max(image_url, pref) FILTER (image_url IS NOT NULL) AS image_url,
+  arg_max(price_min, pref) FILTER (price_min IS NOT NULL) AS price_min, coalesce(arg_max(is_free, pref) FILTER (price_min IS NOT NULL), arg_max(is_free, pref)) AS is_free,
+  arg_max(distance_km, pref) FILTER (lat IS NOT NULL) AS distance_km, length(arg_max(description, (coalesce(length(description), -1), pref))) AS description_length
   FROM ordered GROUP BY cluster)""".format
+_LISTS = ("source_ids", "urls", "native_categories")
+_FIELDS = "ord, records, {}, title, venue_name, district, \"end\", image_url, price_min, is_free, distance_km, description_length".format
+_MERGED = "SELECT " + _FIELDS(", ".join(f"array_to_string({n}, ',') AS {n}" for n in _LISTS)) + " FROM merged"
+
+
+def _shown(out: DataFrame) -> DataFrame:
+    lists = [F.array_join(n, ",").alias(n) for n in _LISTS]
+    return out.select("ord", "records", *lists, "title", "venue_name", "district", "end", "image_url", "price_min", "is_free", "distance_km", F.length("description").alias("description_length"))
+
 
+def _listed(s, d):
+    return merge.listed(_kept(s, d))
 
-def _merged(rows: DataFrame) -> DataFrame:
-    out = merge.merged(rows, SETTINGS)
-    return out.select("ord", "records", F.array_join("source_ids", ",").alias("source_ids"), "title", "venue_name", "district", "end", "price_min", "is_free", "distance_km", F.length("description").alias("description_length"))
 
+def _once(s, d):
+    """Listings after the exact stage."""
+    rows = _listed(s, d)
+    return stash(merge.merged(rows.withColumn("cluster", F.col("id")), SETTINGS).drop("cluster", "records"), "exact")
 
-_MERGED = 'SELECT ord, records, source_ids, title, venue_name, district, "end", price_min, is_free, distance_km, description_length FROM merged'
+
+def _distinct(s, d):
+    """Listings after the exact and the URL stage."""
+    rows = _once(s, d)
+    return stash(merge.merged(rows.join(merge.url_clusters(rows), "ord"), SETTINGS).drop("cluster", "records"), "distinct")
 
 
 @query(_sql(_MERGED, _CLUSTERS("id")))
 def dedup_exact(s, d):
-    return _merged(_kept(s, d).withColumn("cluster", F.col("id")))
+    return _shown(merge.merged(_listed(s, d).withColumn("cluster", F.col("id")), SETTINGS))
 
 
 @query(_sql("SELECT ord, min(ord) OVER (PARTITION BY url_norm) AS cluster FROM listing"))
 def dedup_url(s, d):
-    return merge.url_clusters(_kept(s, d))
+    return merge.url_clusters(_listed(s, d))
 
 
 @query(_sql(_MERGED, _CLUSTERS("min(ord) OVER (PARTITION BY url_norm)")))
 def merge_fold(s, d):
-    rows = _kept(s, d)
-    return _merged(rows.join(merge.url_clusters(rows), "ord"))
+    rows = _listed(s, d)
+    return _shown(merge.merged(rows.join(merge.url_clusters(rows), "ord"), SETTINGS))
+
+
+@query()
+def dedup_fuzzy(s, d):
+    """Clusters of the fuzzy stage, after the exact and the URL stage; an
+    order-dependent fold with changing records, tested against the fold itself."""
+    rows = _distinct(s, d)
+    return merge.fuzzy_clusters(rows, SETTINGS)
 
 
 @query(_sql("SELECT count(*) AS before, count(DISTINCT id) AS after, count(*) - count(DISTINCT id) AS merged FROM listing"))
 def merge_counts(s, d):
-    return _kept(s, d).agg(F.count("*").alias("before"), F.count_distinct("id").alias("after")).withColumn("merged", F.col("before") - F.col("after"))
+    return _kept(s, d, "id").agg(F.count("*").alias("before"), F.count_distinct("id").alias("after")).withColumn("merged", F.col("before") - F.col("after"))
 
 
-# --- ledger, health, run ----------------------------------------------------------------
+_NEAR = "CASE WHEN a.start_time_known AND b.start_time_known THEN abs(date_diff('second', a.\"start\", b.\"start\")) <= 5400 ELSE CAST(a.\"start\" AS DATE) = CAST(b.\"start\" AS DATE) END"
+
+
+@query(_sql(f"SELECT a.ord AS a, b.ord AS b FROM listing a JOIN listing b ON a.venue_name = b.venue_name AND a.ord < b.ord WHERE {_NEAR}"))
+def start_gate(s, d):
+    return merge.start_pairs(_kept(s, d, "ord", "title", "venue_name", "start", "start_time_known"), "venue_name")
+
+
+_TAILED = """
+tailed AS MATERIALIZED (SELECT ord, title, venue_name, venue_norm, title_norm, "start", start_time_known, nullif(regexp_extract(title, '^.*\\s[|-]\\s+(.*)$', 1), '') AS last FROM listing),
+lasts AS (SELECT DISTINCT lower(strip_accents(last)) AS a, venue_norm AS b FROM tailed WHERE last IS NOT NULL AND venue_norm <> ''),
+""" + rated("lasts", "suffix", 85).strip() + """,
+titled AS MATERIALIZED (SELECT t.*, CASE WHEN ratio >= 85 THEN trim(regexp_replace(regexp_replace(lower(strip_accents(regexp_extract(title, '^(.*\\S)\\s+[|-]\\s+.*$', 1))), '(\\s*\\(\\s*([^()\\s]+(\\s+[^()\\s]+)?\\s*)?\\)\\s*)+$', ''), '\\s+', ' ', 'g')) ELSE title_norm END AS fuzzy
+  FROM tailed t LEFT JOIN suffix x ON x.a = lower(strip_accents(last)) AND x.b = venue_norm AND ratio >= 85)"""
+
+
+@query(_sql("SELECT ord, fuzzy FROM titled", _TAILED))
+def fuzzy_title(s, d):
+    return merge.fuzzy_titles(_kept(s, d, "ord", "title", "venue_name")).select("ord", "fuzzy")
+
+
+_HALLS = f"halls AS MATERIALIZED (SELECT DISTINCT {VENUE_TOKENS('a.venue_name')} AS a, {VENUE_TOKENS('b.venue_name')} AS b FROM (SELECT DISTINCT venue_name FROM listing) a, (SELECT DISTINCT venue_name FROM listing) b WHERE a.venue_name IS NOT NULL AND b.venue_name IS NOT NULL)"
+_MET = f"""
+{rated('halls', 'met', 85)},
+tokened AS MATERIALIZED (SELECT *, {VENUE_TOKENS('venue_name')} AS place FROM titled),
+gated AS MATERIALIZED (SELECT a.ord AS a_ord, b.ord AS b_ord, a.fuzzy AS a, b.fuzzy AS b FROM tokened a JOIN tokened b ON a.ord < b.ord AND CAST(b."start" AS DATE) BETWEEN CAST(a."start" AS DATE) - 1 AND CAST(a."start" AS DATE) + 1
+  WHERE {_NEAR} AND (a.venue_name IS NULL OR b.venue_name IS NULL OR (a.place, b.place) IN (SELECT (a, b) FROM met WHERE ratio >= 85))),
+wordings AS MATERIALIZED (SELECT DISTINCT a, b FROM gated),
+{rated('wordings', 'worded', 80)},
+fuzzy_pairs AS (SELECT a_ord AS a, b_ord AS b, ratio FROM gated g JOIN worded w ON w.a = g.a AND w.b = g.b WHERE ratio >= 80)"""
+
+
+def _pairs(s, d):
+    rows = _kept(s, d, "ord", "title", "venue_name", "start", "start_time_known")
+    return merge.fuzzy_pairs(merge.comparable(rows)).filter("ratio IS NOT NULL")
+
+
+@query(_sql("SELECT a, b, round(ratio, 6) AS ratio FROM fuzzy_pairs WHERE ratio < 88", _TAILED, _HALLS, _MET))
+def ambiguous_pairs(s, d):
+    return _pairs(s, d).filter(F.col("ratio") < 88).select("a", "b", F.round("ratio", 6).alias("ratio"))
+
+
+@query(_sql("SELECT a, b FROM fuzzy_pairs WHERE ratio >= 88", _TAILED, _HALLS, _MET))
+def venue_gate(s, d):
+    """Pairs that pass all three: start, venue and title."""
+    return _pairs(s, d).filter(F.col("ratio") >= 88).select("a", "b")
+
+
+@query(_sql("SELECT count(*) AS pairs, count(*) FILTER (CAST(a.\"start\" AS DATE) = CAST(b.\"start\" AS DATE)) AS same_day, count(*) FILTER (abs(date_diff('second', a.\"start\", b.\"start\")) <= 5400) AS within_gap FROM listing a JOIN listing b ON a.ord < b.ord AND a.source_id <> b.source_id"))
+def candidate_pair_counts(s, d):
+    return merge.pair_counts(_kept(s, d, "source_id", "start"))
+
 
-_LEDGER = "ledger AS (SELECT DISTINCT id, title_norm AS t, effective_date AS d, DATE '2024-01-08' AS s FROM listing_all WHERE ord % 11 = 0 AND id IS NOT NULL)"
+# --- ledger, health, run ----------------------------------------------------------------
 
 
 def _ledger(s, d):
-    rows = _all(s, d).filter("ord % 11 = 0 AND id IS NOT NULL")
-    return rows.select("id", F.col("title_norm").alias("t"), F.col("effective_date").alias("d"), F.lit("2024-01-08").cast("date").alias("s")).distinct()
+    return _ledger_of(_table(s, d, "ord", "id", "title_norm", "effective_date", "end"))
+
+
+@query(_sql("SELECT DISTINCT id FROM sent WHERE id IN (SELECT id FROM listing)", SENT))
+def was_sent(s, d):
+    every = _table(s, d, "ord", "id", "title_norm", "effective_date", "end", "drop_reason")
+    return state.sent_ids(normalize.kept(every), state.purged(_ledger_of(every), _today()))
 
 
-@query(_sql("SELECT ord FROM listing l WHERE l.id NOT IN (SELECT id FROM ledger) AND NOT EXISTS (SELECT 1 FROM ledger g WHERE g.d = l.effective_date AND g.t = l.title_norm)", _LEDGER))
+@query(_sql("SELECT ord FROM listing WHERE id NOT IN (SELECT id FROM sent)", SENT))
 def exclude_already_sent(s, d):
-    return state.unsent(_kept(s, d), _ledger(s, d)).select("ord")
+    every = _table(s, d, "ord", "id", "title_norm", "effective_date", "end", "drop_reason")
+    rows = normalize.kept(every)
+    return state.unsent(rows, state.sent_ids(rows, state.purged(_ledger_of(every), _today()))).select("ord")
 
 
-@query(_sql(f"SELECT id, arg_min(t, s) AS t, min(s) AS s FROM (SELECT id, t, s FROM ledger UNION ALL SELECT id, title_norm, DATE '{TODAY}' FROM listing) GROUP BY id", _LEDGER))
+@query(_sql(f"SELECT id, t, d, s, u FROM ledger UNION ALL SELECT id, title_norm, effective_date, DATE '{TODAY}', coalesce(CAST(\"end\" AS DATE), effective_date) FROM listing", LEDGER))
 def ledger_record(s, d):
-    return state.recorded(_ledger(s, d), _kept(s, d), _today()).select("id", "t", "s")
+    every = _table(s, d, "ord", "id", "title_norm", "effective_date", "end", "drop_reason")
+    return state.recorded(_ledger_of(every), normalize.kept(every), _today())
 
 
-@query(_sql(f"SELECT id, d FROM ledger WHERE d >= DATE '{TODAY}' - 5", _LEDGER))
+@query(_sql("SELECT id, t, d, s, u FROM protected", LEDGER))
 def ledger_purge(s, d):
-    return state.purged(_ledger(s, d), _today(), 5).select("id", "d")
+    return state.purged(_ledger(s, d), _today())
+
+
+@query(_sql("SELECT id FROM limited", CAT, FILTERED, SCORED, LIMITED))
+def ledger_scope(s, d):
+    """What a run records that counts only what the mail shows."""
+    view, sent = _viewed(s, d)
+    shown = present.limited(state.unsent(view, sent), SETTINGS)
+    return state.scope(view, shown, True, SETTINGS.replace(ledger_scope="email")).select("id")
+
+
+# Sources here are (source, hour) slices of the raw listings: some of them fail, some come back empty.
+_SLICES = "slices AS (SELECT source_id || '-' || (ord // 500) AS source_id, count(*) AS raw, count(*) FILTER (drop_reason IS NULL) AS n FROM listing_all GROUP BY 1)"
+_BEFORE = "before AS (SELECT source_id, raw % 7 AS consecutive_failures, DATE '2024-01-01' AS last_ok, raw % 20 AS last_count, CASE WHEN raw % 3 = 0 THEN DATE '2024-01-05' + CAST(raw % 10 AS INTEGER) END AS disabled_until FROM slices)"
+_AFTER = f"""ran AS (SELECT b.*, n, disabled_until IS NULL OR disabled_until <= DATE '{TODAY}' AS due, source_id LIKE '%7' AS failed FROM before b JOIN slices USING (source_id)),
+after AS (SELECT source_id, CASE WHEN NOT due THEN consecutive_failures WHEN failed THEN consecutive_failures + 1 ELSE 0 END AS consecutive_failures,
+  CASE WHEN due AND NOT failed THEN DATE '{TODAY}' ELSE last_ok END AS last_ok, CASE WHEN due AND NOT failed THEN n ELSE last_count END AS last_count,
+  CASE WHEN NOT due THEN disabled_until WHEN failed THEN CASE WHEN consecutive_failures + 1 >= 5 THEN DATE '{TODAY}' + 7 ELSE disabled_until END END AS disabled_until,
+  due AND NOT failed AND n = 0 AND last_count > 10 AS drifted FROM ran)"""
+
+
+def _slices(s, d):
+    rows = _table(s, d, "ord", "source_id", "drop_reason").withColumn("source_id", F.concat_ws("-", "source_id", F.floor(F.col("ord") / 500).cast("string")))
+    counts = rows.groupBy("source_id").agg(F.count("*").alias("raw"), F.count_if(F.col("drop_reason").isNull()).alias("n"))
+    before = counts.select(
+        "source_id", (F.col("raw") % 7).alias("consecutive_failures"), F.lit("2024-01-01").cast("date").alias("last_ok"), (F.col("raw") % 20).alias("last_count"),
+        F.when(F.col("raw") % 3 == 0, F.date_add(F.lit("2024-01-05").cast("date"), (F.col("raw") % 10).cast("int"))).alias("disabled_until"),
+    )
+    due = state.due(before, _today())
+    run = counts.join(due.select("source_id"), "source_id", "left_semi").select("source_id", F.when(~F.col("source_id").endswith("7"), F.col("n")).alias("n"))
+    return before, state.health(before, run, _today())
 
 
-@query(_sql(f"SELECT source_id, 0 AS consecutive_failures, DATE '{TODAY}' AS last_ok, count(*) AS last_count FROM listing GROUP BY source_id"))
+@query(_sql("SELECT * FROM after", _SLICES, _BEFORE, _AFTER))
 def health_update(s, d):
-    run = _kept(s, d).groupBy("source_id").agg(F.count("*").alias("n"))
-    before = raw(s, d).groupBy("source_id").agg(F.lit(2).alias("consecutive_failures"), F.lit("2024-01-01").cast("date").alias("last_ok"), F.count("*").alias("last_count"))
-    return state.health(before, run, _today()).select("source_id", "consecutive_failures", "last_ok", "last_count")
+    return _slices(s, d)[1]
+
+
+@query(_sql("SELECT source_id FROM after WHERE drifted", _SLICES, _BEFORE, _AFTER))
+def drift_detect(s, d):
+    return _slices(s, d)[1].filter("drifted").select("source_id")
+
+
+@query(_sql(f"SELECT source_id FROM before WHERE disabled_until > DATE '{TODAY}'", _SLICES, _BEFORE))
+def source_skip(s, d):
+    before = _slices(s, d)[0]
+    return before.join(state.due(before, _today()), "source_id", "left_anti").select("source_id")
+
+
+@query(_sql("SELECT source_id, coalesce(CAST(last_ok AS VARCHAR), '—') AS last_ok, coalesce(CAST(last_count AS VARCHAR), '—') AS last_count, coalesce(CAST(disabled_until AS VARCHAR), '—') AS disabled_until, consecutive_failures FROM after", _SLICES, _BEFORE, _AFTER))
+def status_rows(s, d):
+    return state.status(_slices(s, d)[1])
+
+
+@query(_sql("SELECT count(*) AS sources, count(*) FILTER (consecutive_failures = 0) AS working FROM after", _SLICES, _BEFORE, _AFTER))
+def health_line(s, d):
+    return state.health_line(_slices(s, d)[1])
 
 
 @query(_sql("SELECT source_id, count(*) AS raw, count(*) FILTER (drop_reason IS NULL) AS kept, count(*) FILTER (drop_reason = 'dropped_past') AS past, count(*) FILTER (drop_reason IS NULL AND venue_name IS NULL) AS venueless FROM listing_all GROUP BY source_id"))
 def run_summary(s, d):
     none = F.col("drop_reason").isNull()
-    return _all(s, d).groupBy("source_id").agg(
+    return _table(s, d, "source_id", "venue_name", "drop_reason").groupBy("source_id").agg(
         F.count("*").alias("raw"), F.count_if(none).alias("kept"), F.count_if(F.col("drop_reason") == "dropped_past").alias("past"),
         F.count_if(none & F.col("venue_name").isNull()).alias("venueless"),
     )

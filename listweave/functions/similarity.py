@@ -5,30 +5,10 @@ sorted leftovers of the two sides it is 100 when one side is contained in the
 other, otherwise the best of the normalized insert/delete distance of x and y
 (relative to the full lengths) and the two ratios of I against each side.
 
-`similar_pairs` finds every pair at or above a threshold without comparing all
-pairs. A pair scores high for one of two reasons, and each leaves a signature:
-
-* one side lies (almost) inside the other. Then the shared words cover at least
-  (1-c)/(1+c) of the shorter side, c being 1 - threshold/100, so they cannot all
-  sit among that side's most common words: its rarest words, up to the point
-  where the rest is too short, must contain a shared one. That side emits this
-  rare prefix, the other side all its words, and they meet on a word.
-* the two sides are close letter by letter. Then at most D = c*(|a|+|b|)
-  inserts/deletes separate the leftovers, the same shared words cancel out, and
-  so the letter counts of the whole strings differ by at most D. Splitting the
-  alphabet into D+1 parts leaves at least one part with identical counts: both
-  sides emit the counts per part and meet on it. D depends on length, so strings
-  are put into geometric length classes; the shorter side can only be in the
-  same class or one below, and therefore emits for its own class and the next.
-
-Candidates are then cut by length and letter-distance bounds in the JVM before
-the remaining distance is computed in an Arrow batch.
-"""
+`similar` joins two sets of texts on it by equality of keys."""
 
 from __future__ import annotations
 
-import math
-
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -98,9 +78,9 @@ def token_set_ratio(left: Column | str, right: Column | str) -> Column:
     ab = s + gap + F.length(x)
     ba = s + gap + F.length(y)
     distance = F.length(x) + F.length(y) - 2 * lcs
-    direct = F.lit(100.0) - F.lit(100.0) * distance / (ab + ba)
-    side_a = F.lit(100.0) - F.lit(100.0) * (F.length(x) + 1) / (s + ab)
-    side_b = F.lit(100.0) - F.lit(100.0) * (F.length(y) + 1) / (s + ba)
+    direct = F.lit(100.0) - F.lit(100.0) * distance / F.greatest(ab + ba, F.lit(1))
+    side_a = F.lit(100.0) - F.lit(100.0) * (F.length(x) + 1) / F.greatest(s + ab, F.lit(1))
+    side_b = F.lit(100.0) - F.lit(100.0) * (F.length(y) + 1) / F.greatest(s + ba, F.lit(1))
     return (
         F.when(_col(left).isNull() | _col(right).isNull(), F.lit(None))
         .when(empty, F.lit(0.0))
@@ -117,9 +97,9 @@ def ratio_ceiling(left: Column, right: Column) -> Column:
     s, x, y, gap = _parts(a, b)
     ab = s + gap + F.length(x)
     ba = s + gap + F.length(y)
-    direct = F.lit(100.0) - F.lit(100.0) * F.levenshtein(x, y) / (ab + ba)
-    side_a = F.lit(100.0) - F.lit(100.0) * (F.length(x) + 1) / (s + ab)
-    side_b = F.lit(100.0) - F.lit(100.0) * (F.length(y) + 1) / (s + ba)
+    direct = F.lit(100.0) - F.lit(100.0) * F.levenshtein(x, y) / F.greatest(ab + ba, F.lit(1))
+    side_a = F.lit(100.0) - F.lit(100.0) * (F.length(x) + 1) / F.greatest(s + ab, F.lit(1))
+    side_b = F.lit(100.0) - F.lit(100.0) * (F.length(y) + 1) / F.greatest(s + ba, F.lit(1))
     return (
         F.when((s > 0) & ((x == "") | (y == "")), F.lit(100.0))
         .when(s == 0, direct)
@@ -127,125 +107,58 @@ def ratio_ceiling(left: Column, right: Column) -> Column:
     )
 
 
-def _rare_prefix(words: Column, length: Column, keep_share: float) -> Column:
-    """Rarest words first, until what is left could no longer hold the shared
-    part. `words` are structs (n, w) sorted by how common w is."""
-    start = F.struct(
-        length.cast("double").alias("left"), F.array().cast("array<string>").alias("taken")
-    )
-    need = length * F.lit(keep_share) - F.lit(1e-6)
-    walked = F.aggregate(
-        words,
-        start,
-        lambda acc, item: F.when(
-            acc["left"] >= need,
-            F.struct(
-                (acc["left"] - F.length(item["w"]) - 1).alias("left"),
-                F.array_append(acc["taken"], item["w"]).alias("taken"),
-            ),
-        ).otherwise(F.struct(acc["left"].alias("left"), acc["taken"].alias("taken"))),
-    )
-    return walked["taken"]
-
-
-def _letter_counts(text: Column, parts: Column, cls: Column) -> Column:
-    """One signature per alphabet part: the sorted letters falling into it."""
-    letters = F.array_sort(F.filter(F.split(text, ""), lambda ch: (ch != "") & (ch != " ")))
-    return F.transform(
-        F.sequence(F.lit(0), parts - 1),
-        lambda g: F.concat_ws(
-            "|",
-            F.lit("l"),
-            cls,
-            g,
-            F.array_join(
-                F.filter(letters, lambda ch: F.pmod(F.ascii(ch) * 7, parts) == g), ""
-            ),
-        ),
-    )
-
-
-def similar_pairs(texts: DataFrame, threshold: float) -> DataFrame:
-    """Every pair (a, b), a < b, of distinct texts whose ratio reaches the
-    threshold: columns a, b, ratio.
-
-    `texts` has one column `text`, whose distinct values are compared as given;
-    texts with the same word set are paired through their canonical form."""
-    distinct = texts.select("text").where(F.col("text").isNotNull()).distinct()
-    keyed = distinct.select("text", canonical("text").alias("key")).where("key <> ''")
-    keys = keyed.select("key").distinct()
-    near = _similar_keys(keys, threshold)
-    both = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "ratio"))
-    own = keys.select(F.col("key").alias("a"), F.col("key").alias("b"), F.lit(100.0).alias("ratio"))
-    left = keyed.select(F.col("key").alias("a"), F.col("text").alias("ta"))
-    right = keyed.select(F.col("key").alias("b"), F.col("text").alias("tb"))
-    return (
-        both.unionByName(own)
-        .join(left, "a")
-        .join(right, "b")
-        .where("ta < tb")
-        .select(F.col("ta").alias("a"), F.col("tb").alias("b"), "ratio")
-    )
-
-
-def similar_keys(keys: DataFrame, threshold: float) -> DataFrame:
-    """`similar_pairs` for texts already in canonical form (column `key`)."""
-    return _similar_keys(keys.where("key <> ''").select("key").distinct(), threshold)
-
-
-def _similar_keys(keys: DataFrame, threshold: float) -> DataFrame:
+def ratio(left: str, right: str) -> float:
+    """``token_set_ratio`` of two plain texts."""
+    a, b = set(left.split()), set(right.split())
+    if not a or not b:
+        return 0.0
+    s = len(" ".join(sorted(a & b)))
+    x, y = " ".join(sorted(a - b)), " ".join(sorted(b - a))
+    if s and not (x and y):
+        return 100.0
+    ab, ba = s + (s > 0) + len(x), s + (s > 0) + len(y)
+    direct = 100.0 - 100.0 * (len(x) + len(y) - 2 * _common_subsequence(x, y)) / (ab + ba)
+    if not s:
+        return direct
+    return max(direct, 100.0 - 100.0 * (len(x) + 1) / (s + ab), 100.0 - 100.0 * (len(y) + 1) / (s + ba))
+
+
+def _match_keys(threshold: float, left: bool) -> Column:
+    """Keys of the canonical text in column ``key`` on which any two texts that
+    reach the threshold meet, one's left keys with the other's right ones.
+
+    Either they share a word. Or they share none, and then the threshold bounds
+    the inserts and deletes between the two whole texts by c (|a| + |b|), c being
+    1 - threshold / 100: cut into one piece more than twice c its length allows,
+    the longer text keeps a piece whole, which stands somewhere in the shorter
+    one. So the longer one leaves its pieces, and the shorter one its substrings
+    of every length that pieces of a longer one can have."""
     c = 1.0 - threshold / 100.0
-    base = (1.0 + c) / (1.0 - c) * 1.001
-    keep_share = (1.0 - c) / (1.0 + c)
-
-    rows = keys.select(
-        "key",
-        F.length("key").alias("n"),
-        F.floor(F.log(F.length("key").cast("double")) / F.lit(math.log(base)))
-        .cast("int")
-        .alias("cls"),
-    )
-    words = keys.select("key", F.explode(F.split("key", " ")).alias("w"))
-    common = words.groupBy("w").agg(F.count("*").alias("n"))
-    ranked = (
-        words.join(common, "w")
-        .groupBy("key")
-        .agg(F.array_sort(F.collect_list(F.struct("n", "w"))).alias("ranked"))
-    )
-    rare = ranked.select(
-        F.explode(_rare_prefix(F.col("ranked"), F.length("key"), keep_share)).alias("w"),
-        F.col("key").alias("a"),
-    )
-    by_word = rare.join(words.select("w", F.col("key").alias("b")), "w").select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
-    )
-
-    def letters(cls: Column) -> Column:
-        longest = F.ceil(F.pow(F.lit(base), (cls + 1).cast("double")))
-        parts = (F.floor(F.lit(2.0 * c + 1e-9) * longest) + 1).cast("int")
-        return _letter_counts(F.col("key"), parts, cls)
-
-    own = rows.select(F.col("key"), "n", F.explode(letters(F.col("cls"))).alias("sig"))
-    above = rows.select(F.col("key"), "n", F.explode(letters(F.col("cls") + 1)).alias("sig"))
-    # The longer side of a pair signs for its own class, the other side for both.
-    probes = own.unionByName(above)
-    by_letter = (
-        own.select(F.xxhash64("sig").alias("h"), F.col("key").alias("a"), F.col("n").alias("na"))
-        .join(
-            probes.select(
-                F.xxhash64("sig").alias("h"), F.col("key").alias("b"), F.col("n").alias("nb")
-            ),
-            "h",
-        )
-        .where((F.col("nb") <= F.col("na")) & (F.abs(F.col("na") - F.col("nb")) <= F.lit(c + 1e-9) * (F.col("na") + F.col("nb"))))
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    )
-    floor = F.lit(threshold - 1e-9)
-    return (
-        by_word.unionByName(by_letter)
-        .where("a < b")
-        .where(ratio_ceiling(F.col("a"), F.col("b")) >= floor)
-        .distinct()
-        .select("a", "b", token_set_ratio("a", "b").alias("ratio"))
-        .where(F.col("ratio") >= F.lit(threshold))
-    )
+    cuts = "int(floor({} * " + repr(2 * c) + " + 1e-9))"
+    n, k = "length(key)", cuts.format("length(key)")
+    pieces = f"transform(sequence(0, {k}), i -> substring(key, i * {n} div ({k} + 1) + 1, (i + 1) * {n} div ({k} + 1) - i * {n} div ({k} + 1)))"
+    width = f"m div ({cuts.format('m')} + 1)"
+    widths = f"array_distinct(flatten(transform(sequence({n}, int(floor({n} * {(1 + c) / (1 - c)!r} + 1e-6))), m -> array({width}, {width} + 1))))"
+    parts = f"flatten(transform(filter({widths}, w -> w between 1 and {n}), w -> transform(sequence(1, {n} - w + 1), p -> substring(key, p, w))))"
+    one, two = ("p", "s") if left else ("s", "p")
+    return F.expr(f"array_distinct(concat(transform(split(key, ' '), t -> concat('t', t)), transform({parts}, x -> concat('{one}', x)), transform({pieces}, x -> concat('{two}', x))))")
+
+
+def similar(left: DataFrame, right: DataFrame, threshold: float, on: list[str] | None = None) -> DataFrame:
+    """(*on, a, b, ratio): every pair of a text of ``left`` (*on, text) and one of
+    ``right`` with equal ``on`` whose ratio reaches the threshold. Pairs meet by
+    equality of a key; a bound from built-ins then cuts what can't reach it before
+    the exact ratio is computed, once per pair of word sets. Texts without a word
+    match nothing."""
+    on = on or []
+
+    def keyed(side: DataFrame, name: str) -> DataFrame:
+        rows = side.filter(F.col("text").isNotNull()).select(*on, F.col("text").alias(name), canonical("text").alias("key")).filter("key <> ''").distinct()
+        return rows
+
+    a, b = keyed(left, "a"), keyed(right, "b")
+    meet = lambda rows, is_left, name: rows.select(*on, "key").distinct().select(*on, F.col("key").alias(name), F.explode(_match_keys(threshold, is_left)).alias("meet"))
+    pairs = meet(a, True, "ka").join(meet(b, False, "kb"), [*on, "meet"])
+    near = pairs.filter(ratio_ceiling(F.col("ka"), F.col("kb")) >= threshold - 1e-9).select("ka", "kb").distinct()
+    near = near.select("ka", "kb", token_set_ratio("ka", "kb").alias("ratio")).filter(F.col("ratio") >= threshold)
+    return a.withColumnRenamed("key", "ka").join(near, "ka").join(b.withColumnRenamed("key", "kb"), [*on, "kb"]).select(*on, "a", "b", "ratio")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from listweave.functions.text import _col, strip_space
+from listweave.functions.text import _col, strip_space, words_array
 
 # Month names of the long display form, January first.
 MONTHS = (
@@ -40,14 +40,22 @@ _OFFSET = r"(Z|[+-]\d{2}(?::?\d{2}(?::?\d{2})?)?)?"
 _DOTTED = (r"(\d{4})\.\s+(\d{1,2})\.\s+(\d{1,2})\.", r"(\d{4})\.(\d{1,2})\.(\d{1,2})\.")
 _HOURS = r"\s+(\d{1,2}):(\d{1,2})"
 
-#: (pattern, rewritten, clock known?), tried in order.
-_FORMS = (
-    *((f"^{day}$", "$1|$2|$3|||||", False) for day in (*_DAY.values(), *_WEEK.values())),
-    *((f"(?s)^{day}.{clock}{_OFFSET}$", "$1|$2|$3|$4|$5|$6|$7|$8", True) for day in (*_DAY.values(), *_WEEK.values()) for clock in _CLOCK.values()),
-    *((f"(?U)^{day}$", "$1|$2|$3|||||", False) for day in _DOTTED),
-    *((f"(?U)^{day}{_HOURS}$", "$1|$2|$3|$4|$5|||", True) for day in _DOTTED),
-    (f"(?U)^{_DOTTED[0]}{_HOURS}:(\\d{{1,2}})$", "$1|$2|$3|$4|$5|$6||", True),
-)
+def _iso(day: str) -> tuple:
+    return ((f"^{day}$", "$1|$2|$3|||||", False), *((f"(?s)^{day}.{clock}{_OFFSET}$", "$1|$2|$3|$4|$5|$6|$7|$8", True) for clock in _CLOCK.values()))
+
+
+#: By the characters after the year: (pattern, rewritten, clock known?), tried in order.
+_FORMS = {
+    "-W": _iso(_WEEK["extended"]),
+    "-": _iso(_DAY["extended"]),
+    "W": _iso(_WEEK["basic"]),
+    ".": (
+        *((f"(?U)^{day}$", "$1|$2|$3|||||", False) for day in _DOTTED),
+        *((f"(?U)^{day}{_HOURS}$", "$1|$2|$3|$4|$5|||", True) for day in _DOTTED),
+        (f"(?U)^{_DOTTED[0]}{_HOURS}:(\\d{{1,2}})$", "$1|$2|$3|$4|$5|$6||", True),
+    ),
+    "": _iso(_DAY["basic"]),
+}
 
 
 def _num(c: Column) -> Column:
@@ -61,49 +69,63 @@ def _long_form(c: Column) -> Column:
     spaced = F.regexp_replace(c, r"(?U)\s+", " ")
     shape = F.regexp_replace(F.regexp_replace(spaced, r"(?U)\d+", "9"), r"(?U)[\w&&[^9]]+", "w")
     parts = F.split(spaced, r"[ .,:]+")
-    month = F.array_position(F.array(*map(F.lit, MONTHS)), F.lower(F.get(parts, F.lit(1))))
+    month = F.array_position(words_array(MONTHS), F.lower(F.get(parts, F.lit(1))))
     at = lambda k: F.get(parts, F.lit(k))
     sized = (F.length(at(0)) == 4) & (F.length(at(2)) <= 2) & (F.length(at(4)) <= 2) & (F.length(at(5)) == 2)
     return F.when((shape == "9. w 9., w 9:9") & sized & (month > 0), F.concat_ws("|", at(0), month.cast("string"), at(2), at(4), at(5), F.lit("||")))
 
 
 def _rewritten(c: Column) -> Column:
+    """The parts of the first form that fits, delimited. The characters after the
+    year decide which forms are compared at all."""
     out = F.when(F.lit(False), c)
-    for pattern, target, known in _FORMS:
-        out = out.when(c.rlike(pattern), F.concat(F.regexp_replace(c, pattern, target), F.lit(f"|{int(known)}")))
-    return out.otherwise(F.concat(_long_form(c), F.lit("|1")))
+    for follows, forms in _FORMS.items():
+        fits = F.when(F.lit(False), c)
+        for pattern, target, known in forms:
+            fits = fits.when(c.rlike(pattern), F.concat(F.regexp_replace(c, pattern, target), F.lit(f"|{int(known)}")))
+        if follows == ".":
+            fits = fits.otherwise(F.concat(_long_form(c), F.lit("|1")))
+        out = out.when(F.substring(c, 5, len(follows)) == follows, fits)
+    return out
 
 
 def parse_datetime(value: Column | str, timezone: str) -> Column:
     """STRUCT<ts TIMESTAMP_NTZ, known BOOLEAN>; ts is null when nothing fits.
-    Seconds of 60, offsets of a day or more and the year 0 do not fit."""
-    split = F.split(_rewritten(strip_space(value)), "\\|")
-    # one element, so that the parts are computed once
-    parsed = F.transform(F.array(split), lambda p: _built(p, timezone))
-    return F.coalesce(F.get(parsed, F.lit(0)), F.struct(F.lit(None).cast("timestamp_ntz").alias("ts"), F.lit(None).cast("boolean").alias("known")))
+    Seconds of 60, offsets of a day or more and the year 0 do not fit.
+
+    Each step works on the one element of an array, so that what it builds on
+    is computed once, wherever the optimizer moves or copies references."""
+    parts = F.transform(F.array(strip_space(value)), lambda c: F.split(_rewritten(c), "\\|"))
+    naive = F.transform(parts, lambda p: F.struct(p.alias("p"), _naive(p).alias("ts")))
+    return F.get(F.transform(naive, lambda n: _localized(n["p"], n["ts"], timezone)), F.lit(0))
+
 
+def _naive(p: Column) -> Column:
+    """Wall-clock time of the parts; the cast refuses what no calendar or clock has."""
+    at = lambda k: F.coalesce(F.nullif(F.get(p, F.lit(k)), F.lit("")), F.lit("0"))
+    clock = F.concat(F.lit(" "), at(3), F.lit(":"), at(4), F.lit(":"), at(5), F.lit("."), F.substring(at(6), 1, 6))
+    day = F.concat(at(0), F.lit("-"), at(1), F.lit("-"), at(2))
+    by_day = F.when(at(0) != "0000", F.concat(day, clock).try_cast("timestamp_ntz"))
+    by_week = F.concat(_week_day(_num(at(0)), _num(F.substring(at(1), 2, 2)), F.greatest(_num(at(2)), F.lit(1))).cast("string"), clock).try_cast("timestamp_ntz")
+    return F.when(at(1).startswith("W"), by_week).otherwise(by_day)
 
-def _built(p: Column, timezone: str) -> Column:
-    at = lambda k: F.get(p, F.lit(k))
-    year, week = _num(at(0)), _num(F.regexp_replace(at(1), "W", ""))
-    weekday = F.greatest(_num(at(2)), F.lit(1))
+
+def _week_day(year: Column, week: Column, weekday: Column) -> Column:
+    """The date of an ISO week and weekday; null if the year has no such week."""
     fourth = F.try_make_timestamp_ntz(year, F.lit(1), F.lit(4), F.lit(0), F.lit(0), F.lit(0)).cast("date")
-    by_week = F.date_add(F.date_sub(fourth, F.weekday(fourth)), ((week - 1) * 7 + weekday - 1).cast("int"))
-    sound_week = (week >= 1) & (F.weekofyear(F.date_sub(by_week, weekday - 1)) == week)
-    by_day = F.try_make_timestamp_ntz(year, _num(at(1)), _num(at(2)), F.lit(0), F.lit(0), F.lit(0)).cast("date")
-    day = F.when(at(1).startswith("W"), F.when(sound_week, by_week)).otherwise(by_day)
-    hour, minute, second = _num(at(3)), _num(at(4)), _num(at(5))
-    micros = _num(F.rpad(F.substring(at(6), 1, 6), 6, "0"))
-    clock = hour * 3600 + minute * 60 + second
-    naive = day.cast("timestamp_ntz") + F.make_dt_interval(secs=clock + micros.cast("decimal(18,6)") / F.lit(1000000))
-    digits = F.regexp_replace(at(7), "[:+-]", "")
-    oh, om, os = (_num(F.substring(digits, k, 2)) for k in (1, 3, 5))
-    signed = (oh * 3600 + om * 60 + os) * F.when(at(7).startswith("-"), F.lit(-1)).otherwise(F.lit(1))
+    monday = F.date_add(F.date_sub(fourth, F.weekday(fourth)), ((week - 1) * 7).cast("int"))
+    return F.when((week >= 1) & (F.weekofyear(monday) == week), F.date_add(monday, weekday - 1))
+
+
+def _localized(p: Column, naive: Column, timezone: str) -> Column:
+    offset = F.get(p, F.lit(7))
+    digits = F.regexp_replace(offset, "[:+-]", "")
+    hours, minutes, seconds = (_num(F.substring(digits, k, 2)) for k in (1, 3, 5))
+    signed = (hours * 3600 + minutes * 60 + seconds) * F.when(offset.startswith("-"), F.lit(-1)).otherwise(F.lit(1))
     utc = naive - F.make_dt_interval(secs=signed.cast("decimal(18,6)"))
+    fits = naive.isNotNull() & ((offset == "") | ((hours <= 23) & (minutes <= 59) & (seconds <= 59)))
     zoned = F.convert_timezone(F.lit("UTC"), F.lit(timezone), utc)
-    sound = (year >= 1) & (hour <= 23) & (minute <= 59) & (second <= 59) & (oh <= 23) & (om <= 59) & (os <= 59)
-    ts = F.when(sound, F.when(at(7) == "", naive).otherwise(zoned))
-    return F.struct(ts.alias("ts"), F.when(ts.isNotNull(), at(8) == "1").alias("known"))
+    return F.struct(F.when(fits, F.when(offset == "", naive).otherwise(zoned)).alias("ts"), F.when(fits, F.get(p, F.lit(8)) == "1").alias("known"))
 
 
 def effective_date(start: Column, known: Column, shift_hours: int) -> Column:

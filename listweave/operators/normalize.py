@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from listweave.config import Settings
+from listweave.config import DESCRIPTION_LIMIT, Settings
 from listweave.functions import places, prices, text, timeparse
 
 
@@ -26,29 +26,39 @@ def is_beyond(start: Column, known: Column, now: Column, days: int) -> Column:
     return F.when(known, start > far).otherwise(start.cast("date") > far.cast("date"))
 
 
+def is_series(start: Column, end: Column, threshold_days: int) -> Column:
+    """More whole days from start to end than the threshold; without an end, none."""
+    days = F.floor(F.timestamp_diff("SECOND", start, end) / 86400)
+    return F.coalesce(days > threshold_days, F.lit(False))
+
+
 def normalized(raw: DataFrame, settings: Settings, now: Column) -> DataFrame:
-    """Every raw row with its canonical columns and ``drop_reason``. Texts are
-    folded once; nothing is shuffled."""
+    """Every raw row with its canonical columns and ``drop_reason``. Nothing is
+    shuffled. Filters on the reason belong behind a written table: pushed into
+    this projection they would repeat its parsers."""
     parsed = raw.withColumns({
         "_start": timeparse.parse_datetime("start_raw", settings.timezone),
         "_end": timeparse.parse_datetime("end_raw", settings.timezone),
         "_price": prices.parse_price("price_raw"),
-        "title_norm": text.normalize_title("title"),
-        "venue_norm": text.normalize_venue("venue_name"),
-    })
-    start, known = F.col("_start.ts"), F.col("_start.known")
+        "description": text.enough_of("description", DESCRIPTION_LIMIT),
+        "title": text.collapse_space("title"),
+        "venue_name": text.collapse_space("venue_name"),
+    }).withColumns({"title_norm": text.normalize_title("title"), "venue_norm": text.normalize_venue("venue_name")})
+    start, known, end = F.col("_start.ts"), F.col("_start.known"), F.col("_end.ts")
     reason = (
         F.when(start.isNull(), "unparseable_start")
-        .when(is_past(start, known, F.col("_end.ts"), F.col("_end.known"), now), "dropped_past")
+        .when(is_past(start, known, end, F.col("_end.known"), now), "dropped_past")
         .when(is_beyond(start, known, now, settings.horizon_days), "beyond_horizon")
     )
     return parsed.select(
-        "ord", "source_id", "title", "title_norm", "venue_norm", "description", "url", "venue_name", "native_category",
-        start.alias("start"), F.col("_end.ts").alias("end"), "lat", "lon", known.alias("start_time_known"),
+        "ord", "source_id", "title", "title_norm", "venue_norm", text.clean_description("description", DESCRIPTION_LIMIT).alias("description"),
+        "url", "venue_name", "native_category", "image_url",
+        start.alias("start"), end.alias("end"), "lat", "lon", known.alias("start_time_known"),
         timeparse.effective_date(start, known, settings.night_shift_hours).alias("effective_date"),
+        is_series(start, end, settings.series_threshold_days).alias("is_series"),
         event_id(F.col("title_norm"), start, F.col("venue_norm")).alias("id"),
         text.normalize_url("url").alias("url_norm"),
-        places.derive_city(F.lit(None).cast("string"), "postal_code", F.lit(None).cast("string")).alias("city"),
+        places.derive_city("city", "postal_code", "address_raw").alias("city"),
         places.district("district_raw", "postal_code").alias("district"),
         places.distance_km(settings.home, F.col("lat"), F.col("lon")).alias("distance_km"),
         F.col("_price.price_min").alias("price_min"), F.col("_price.price_max").alias("price_max"), F.col("_price.is_free").alias("is_free"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listweave.config import NATIVE_TYPE_POINTS, PINNED_BONUS, SCORE_TERMS, URL_PATTERN_POINTS, VENUE_MATCH_RATIO, WEEKDAYS, Settings
@@ -25,23 +25,61 @@ def venue_matches(venue: Column, other: Column) -> Column:
     return F.coalesce((a != "") & (b != "") & (similarity.token_set_ratio(a, b) >= VENUE_MATCH_RATIO), F.lit(False))
 
 
-def category_score(name: str, settings: Settings) -> Column:
-    """Points of one category: its keywords, the first venue rule that matches,
-    URL patterns and native types."""
+def venue_rules(spark: SparkSession, settings: Settings) -> DataFrame:
+    """(category, place, rule, weight) of the configured venue rules, as a table."""
+    rows = [(c, k, name, float(w)) for c, rules in settings.categories.items() for k, (name, w) in enumerate(rules.venue_prior.items())]
+    return spark.createDataFrame(rows, "category string, place int, rule string, weight double")
+
+
+def venue_priors(listings: DataFrame, rules: DataFrame) -> DataFrame:
+    """(venue_name, category, rule, weight): for each distinct venue the first rule
+    of each category that names it. Distinct venues meet the rules, not listings."""
+    tokens = lambda rows, c: rows.select(c, text.venue_tokens(c).alias("text")).distinct()
+    venues, named = tokens(listings.filter("venue_name IS NOT NULL"), "venue_name"), tokens(rules, "rule")
+    alike = similarity.similar(venues.select("text"), named.select("text"), VENUE_MATCH_RATIO)
+    pairs = venues.join(alike.select(F.col("a").alias("text"), "b"), "text").drop("text").join(named.withColumnRenamed("text", "b"), "b").drop("b")
+    first = pairs.join(rules, "rule").groupBy("venue_name", "category").agg(F.min_by(F.struct("rule", "weight"), "place").alias("r"))
+    return first.select("venue_name", "category", "r.rule", "r.weight")
+
+
+def unmatched_rules(listings: DataFrame, rules: DataFrame) -> DataFrame:
+    """Venue rules that name no venue of the whole corpus."""
+    tokens = lambda rows, c: rows.select(text.venue_tokens(c).alias("text")).distinct()
+    matched = similarity.similar(tokens(rules, "rule"), tokens(listings.filter("venue_name IS NOT NULL"), "venue_name"), VENUE_MATCH_RATIO).select("a").distinct()
+    return rules.withColumn("a", text.venue_tokens("rule")).join(matched, "a", "left_anti").select("category", "rule")
+
+
+def signals(name: str, settings: Settings) -> list[tuple[str, Column]]:
+    """(signal, points) of one category: its keywords, the first venue rule that
+    matches, URL patterns and native types."""
     rules = settings.categories[name]
-    words = [F.when(text.contains_word(F.col("haystack"), k), F.lit(float(w))).otherwise(0.0) for k, w in rules.keywords.items()]
-    venue = F.lit(0.0)
-    for place, weight in reversed(rules.venue_prior.items()):
-        venue = F.when(venue_matches(F.col("venue_name"), F.lit(place)), F.lit(float(weight))).otherwise(venue)
-    url = reduce(lambda a, b: a | b, [F.col("url").contains(p) for p in rules.url_patterns], F.lit(False))
-    native = F.coalesce(F.col("native_category").isin(list(rules.native_types)), F.lit(False)) if rules.native_types else F.lit(False)
-    return _sum([*words, venue, F.when(url, URL_PATTERN_POINTS).otherwise(0.0), F.when(native, NATIVE_TYPE_POINTS).otherwise(0.0)])
+    points = lambda c, w: F.when(c, F.lit(float(w))).otherwise(0.0)
+    out = [(f"keyword:{k}", points(text.contains_word(F.col("haystack"), k), w)) for k, w in rules.keywords.items()]
+    if rules.venue_prior:
+        out.append(("venue_prior", F.coalesce(F.try_element_at("priors", F.lit(name)), F.lit(0.0))))
+    if rules.url_patterns:
+        out.append(("url_pattern", points(reduce(lambda a, b: a | b, [F.col("url").contains(p) for p in rules.url_patterns]), URL_PATTERN_POINTS)))
+    if rules.native_types:
+        out.append(("native_type", points(F.coalesce(F.col("native_category").isin(list(rules.native_types)), F.lit(False)), NATIVE_TYPE_POINTS)))
+    return out
+
+
+def with_priors(listings: DataFrame, settings: Settings) -> DataFrame:
+    """``listings`` with ``priors``, the venue's points by category."""
+    found = venue_priors(listings, venue_rules(listings.sparkSession, settings))
+    by_venue = found.groupBy("venue_name").agg(F.map_from_entries(F.collect_list(F.struct("category", "weight"))).alias("priors"))
+    return listings.join(by_venue, "venue_name", "left")
 
 
 def explained(listings: DataFrame, settings: Settings) -> DataFrame:
-    """``listings`` with ``category_scores``: (total, place, name) of each category."""
-    scores = [F.struct(category_score(n, settings).alias("total"), F.lit(k).alias("place"), F.lit(n).alias("name")) for k, n in enumerate(settings.categories)]
-    return listings.withColumn("category_scores", F.array(*scores))
+    """``listings`` with ``category_scores``: (total, place, name, signals) of each
+    category; of the signals only those that count."""
+    scores = []
+    for k, name in enumerate(settings.categories):
+        parts = signals(name, settings)
+        shown = F.filter(F.array(*[F.struct(F.lit(n).alias("signal"), c.alias("weight")) for n, c in parts]), lambda x: x["weight"] != 0)
+        scores.append(F.struct(_sum([c for _, c in parts]).alias("total"), F.lit(k).alias("place"), F.lit(name).alias("name"), shown.alias("signals")))
+    return with_priors(listings, settings).withColumn("category_scores", F.array(*scores)).drop("priors")
 
 
 def categorized(listings: DataFrame, settings: Settings) -> DataFrame:
@@ -75,7 +113,7 @@ def exclusion(settings: Settings, hidden: Column) -> Column:
 def score_terms(settings: Settings, now: Column, sent: Column, pinned: Column) -> dict[str, Column]:
     s = settings.scoring
     zero = F.lit(0.0)
-    weights = F.create_map(*[F.lit(x) for k, w in s.category_weights.items() for x in (k, float(w))])
+    weights = F.create_map(*[F.lit(x) for k, w in settings.category_weights.items() for x in (k, float(w))])
     points = lambda c, n: F.when(F.coalesce(c, F.lit(False)), F.lit(float(n))).otherwise(zero)
     days = F.array(*[F.lit(float(s.weekday_weights.get(d, 0.0))) for d in WEEKDAYS])
     far = F.col("distance_km") if s.penalty_cap_km is None else F.least("distance_km", F.lit(float(s.penalty_cap_km)))
@@ -100,3 +138,10 @@ def scored(listings: DataFrame, settings: Settings, now: Column, sent: Column, p
     """``listings`` with every term and ``score``, the sum in their fixed order."""
     terms = score_terms(settings, now, sent, pinned)
     return listings.withColumns(terms).withColumn("score", _sum([F.col(n) for n in terms]))
+
+
+def flagged(listings: DataFrame, **ids: DataFrame) -> DataFrame:
+    """``listings`` with a flag for each table of ids: is the row's id in it?"""
+    for name, table in ids.items():
+        listings = listings.join(table.select("id").distinct().withColumn(name, F.lit(True)), "id", "left").withColumn(name, F.coalesce(name, F.lit(False)))
+    return listings

@@ -1,0 +1,24 @@
+"""Source rows in one order, and mapped to the raw columns."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from listweave.tables import stash
+
+
+def numbered(rows: DataFrame, by: list[str], falling: list[bool] | None = None, name: str = "ord", start: int = 1) -> DataFrame:
+    """``rows`` with their running number in the global order ``by`` (columns that
+    tell all rows apart; null last where an order falls, else first), without
+    bringing them together: they are dealt out in ranges and written, each range is
+    numbered by itself, and the sizes of the ranges before it are added."""
+    falling = falling or [False] * len(by)
+    order = [F.desc(c) if down else F.asc(c) for c, down in zip(by, falling, strict=True)]
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = stash(rows.repartitionByRange(parts, *order).withColumn("_range", F.spark_partition_id()), "ranged")
+    sizes = ranged.groupBy("_range").agg(F.count("*").alias("n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before"))  # one row per range
+    own = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return ranged.withColumn("_own", own).join(F.broadcast(offsets), "_range").withColumn(name, F.col("_own") + F.col("_before") + (start - 1)).drop("_range", "_own", "_before")
