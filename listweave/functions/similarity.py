@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from listweave.functions.text import _col
+from listweave.functions.text import _col, bound
 
 
 def _common_subsequence(a: str, b: str) -> int:
@@ -90,21 +90,35 @@ def token_set_ratio(left: Column | str, right: Column | str) -> Column:
     )
 
 
-def ratio_ceiling(left: Column, right: Column) -> Column:
-    """An upper bound of the ratio from JVM built-ins alone. Insert/delete
-    distance is never below the edit distance, nor below the length gap."""
-    a, b = token_set(left), token_set(right)
-    s, x, y, gap = _parts(a, b)
-    ab = s + gap + F.length(x)
-    ba = s + gap + F.length(y)
-    direct = F.lit(100.0) - F.lit(100.0) * F.levenshtein(x, y) / F.greatest(ab + ba, F.lit(1))
-    side_a = F.lit(100.0) - F.lit(100.0) * (F.length(x) + 1) / F.greatest(s + ab, F.lit(1))
-    side_b = F.lit(100.0) - F.lit(100.0) * (F.length(y) + 1) / F.greatest(s + ba, F.lit(1))
-    return (
-        F.when((s > 0) & ((x == "") | (y == "")), F.lit(100.0))
-        .when(s == 0, direct)
-        .otherwise(F.greatest(direct, side_a, side_b))
-    )
+def rated(pairs: DataFrame, threshold: float) -> DataFrame:
+    """(ka, kb, ratio) of the pairs of canonical texts (ka, kb) that come to the
+    threshold. The parts are columns of their own, computed once; insert/delete
+    distance is never below the edit distance, so built-ins cut most pairs before
+    the rest go through the exact distance."""
+    words = pairs.select("ka", "kb", F.split("ka", " ").alias("a"), F.split("kb", " ").alias("b"))
+    join = lambda c: F.array_join(c, " ")
+    part = F.struct(F.length(join(F.array_intersect("a", "b"))).alias("s"), join(F.array_except("a", "b")).alias("x"), join(F.array_except("b", "a")).alias("y"))
+    parts = words.select("ka", "kb", part.alias("part"))
+    near = parts.filter(bound(F.col("part"), lambda p: _best(p, F.levenshtein(p["x"], p["y"]))) >= threshold - 1e-9)
+    left = F.length("part.x") + F.length("part.y") - 2 * _lcs(F.col("part.x"), F.col("part.y"))
+    exact = near.withColumn("left", left).withColumn("ratio", _best(F.col("part"), F.col("left")))
+    return exact.filter(F.col("ratio") >= threshold).select("ka", "kb", "ratio")
+
+
+def _best(part: Column, distance: Column) -> Column:
+    """The ratio for the shared words' length and what is left of either side (s, x, y)."""
+    s, x, y = part["s"], F.length(part["x"]), F.length(part["y"])
+    gap = (s > 0).cast("int")
+    ab, ba = s + gap + x, s + gap + y
+    direct = F.lit(100.0) - F.lit(100.0) * distance / (ab + ba)
+    side = lambda over, total: F.lit(100.0) - F.lit(100.0) * (over + 1) / (s + total)
+    return F.when((s > 0) & ((x == 0) | (y == 0)), F.lit(100.0)).when(s == 0, direct).otherwise(F.greatest(direct, side(x, ab), side(y, ba)))
+
+
+def _dealt(rows: DataFrame, *keys: str) -> DataFrame:
+    """Distinct rows over all partitions: what follows computes much per row, so
+    their number counts and not their bytes."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys).distinct()
 
 
 def ratio(left: str, right: str) -> float:
@@ -153,12 +167,17 @@ def similar(left: DataFrame, right: DataFrame, threshold: float, on: list[str] |
     on = on or []
 
     def keyed(side: DataFrame, name: str) -> DataFrame:
-        rows = side.filter(F.col("text").isNotNull()).select(*on, F.col("text").alias(name), canonical("text").alias("key")).filter("key <> ''").distinct()
-        return rows
+        rows = side.filter(F.col("text").isNotNull()).select(*on, F.col("text").alias(name), canonical("text").alias("key")).filter("key <> ''")
+        return _dealt(rows, *on, "key")
 
     a, b = keyed(left, "a"), keyed(right, "b")
-    meet = lambda rows, is_left, name: rows.select(*on, "key").distinct().select(*on, F.col("key").alias(name), F.explode(_match_keys(threshold, is_left)).alias("meet"))
-    pairs = meet(a, True, "ka").join(meet(b, False, "kb"), [*on, "meet"])
-    near = pairs.filter(ratio_ceiling(F.col("ka"), F.col("kb")) >= threshold - 1e-9).select("ka", "kb").distinct()
-    near = near.select("ka", "kb", token_set_ratio("ka", "kb").alias("ratio")).filter(F.col("ratio") >= threshold)
+    meet = lambda rows, is_left, name: rows.select(*on, "key").distinct().select(*on, F.col("key").alias(name), F.explode(_match_keys(threshold, is_left)).alias("meet_"))
+    pairs = meet(a, True, "ka").join(meet(b, False, "kb"), [*on, "meet_"]).select("ka", "kb")
+    near = rated(_dealt(pairs, "ka", "kb"), threshold)
     return a.withColumnRenamed("key", "ka").join(near, "ka").join(b.withColumnRenamed("key", "kb"), [*on, "kb"]).select(*on, "a", "b", "ratio")
+
+
+def rated_texts(pairs: DataFrame, threshold: float) -> DataFrame:
+    """(a, b, ratio) of the distinct text pairs (a, b) that reach the threshold."""
+    keyed = pairs.select("a", "b", canonical("a").alias("ka"), canonical("b").alias("kb")).filter("ka <> '' AND kb <> ''")
+    return keyed.join(rated(_dealt(keyed.select("ka", "kb"), "ka", "kb"), threshold), ["ka", "kb"]).select("a", "b", "ratio")

@@ -189,26 +189,26 @@ def fuzzy_pairs(table: DataFrame, floor: float = TITLE_AMBIGUOUS_RATIO) -> DataF
     that of the fuzzy titles (null below the floor), ``reach`` the best of any of
     their forms: a venue that a merge fills in can only choose among them.
 
-    Similar venues and similar titles are found among the distinct ones. Two
-    listings with venues meet by similar venue and time; where a venue is missing
-    they meet by similar title and time. No key gathers a day or a venue."""
-    forms = table.withColumn("form", F.explode(F.array_distinct(F.filter(F.array("plain", "headed"), lambda t: t.isNotNull()))))
-    texts = forms.select(F.col("form").alias("text")).distinct()
-    titles = stash(similarity.similar(texts, texts, floor), "titles")
+    Two listings with venues meet by similar venue and time; similar venues are
+    found among the distinct ones, and titles are rated once per distinct pair.
+    Where a venue is missing they meet by time and a key that similar titles share.
+    No key gathers a day or all listings without a venue."""
+    form = lambda plain, headed: F.explode(F.array_distinct(F.filter(F.array(plain, headed), lambda t: t.isNotNull())))
     places = table.filter("tokens <> '' AND venue_name IS NOT NULL").select(F.col("tokens").alias("text")).distinct()
     venues = stash(similarity.similar(places, places, VENUE_MATCH_RATIO), "venues").select(F.col("a").alias("tokens_a"), F.col("b").alias("tokens_b"))
+    columns = ["ord_a", "ord_b", "fuzzy_a", "fuzzy_b", "form_a", "form_b"]
 
     a, b = _sides(table.filter("venue_name IS NOT NULL"), "tokens", "fuzzy", "plain", "headed")
-    met = _gated(a.join(venues, "tokens_a").join(b, ["meet", "tokens_b"]))
-    formed = lambda rows, n: F.explode(F.array_distinct(F.filter(F.array(f"plain_{n}", f"headed_{n}"), lambda t: t.isNotNull())))
-    spelled = met.withColumn("form_a", formed(met, "a")).withColumn("form_b", formed(met, "b"))
-    alike = titles.select(F.col("a").alias("form_a"), F.col("b").alias("form_b"), "ratio")
-    columns = ["ord_a", "ord_b", "fuzzy_a", "fuzzy_b", "form_a", "form_b", "ratio"]
-    found = spelled.join(alike, ["form_a", "form_b"]).select(*columns)
-
-    a, b = _sides(forms, "venue_name", "fuzzy", "form")
+    met = _gated(a.join(venues, "tokens_a").join(b, ["meet", "tokens_b"])).withColumn("form_a", form("plain_a", "headed_a"))
+    spelled = stash(met.withColumn("form_b", form("plain_b", "headed_b")).select(*columns), "spelled")
+    alike = similarity.rated_texts(spelled.select(F.col("form_a").alias("a"), F.col("form_b").alias("b")).distinct(), floor)
+    found = spelled.join(alike.select(F.col("a").alias("form_a"), F.col("b").alias("form_b"), "ratio"), ["form_a", "form_b"]).select(*columns, "ratio")
+
+    a, b = _sides(table.withColumn("form", form("plain", "headed")), "venue_name", "fuzzy", "form")
     for left, right in ((a.filter("venue_name_a IS NULL"), b), (a.filter("venue_name_a IS NOT NULL"), b.filter("venue_name_b IS NULL"))):
-        found = found.unionByName(_gated(left.join(alike, "form_a").join(right, ["meet", "form_b"])).select(*columns))
+        texts = [side.select("meet", F.col(f"form_{n}").alias("text")) for side, n in ((left, "a"), (right, "b"))]
+        alike = similarity.similar(*texts, floor, ["meet"]).select("meet", F.col("a").alias("form_a"), F.col("b").alias("form_b"), "ratio")
+        found = found.unionByName(_gated(left.join(alike, ["meet", "form_a"]).join(right, ["meet", "form_b"])).select(*columns, "ratio"))
     own = F.when((F.col("form_a") == F.col("fuzzy_a")) & (F.col("form_b") == F.col("fuzzy_b")), F.col("ratio"))
     return found.groupBy(F.col("ord_a").alias("a"), F.col("ord_b").alias("b")).agg(F.max(own).alias("ratio"), F.max("ratio").alias("reach"))
 
