@@ -5,15 +5,20 @@ from the Spark code; arrays leave as joined text."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from listweave.config import VENUE_MATCH_RATIO
-from listweave.functions import similarity
+from listweave.functions import places, similarity
 from listweave.functions import text as texts
 from listweave.operators import extract, merge, normalize, present, rank, sources, state
+from listweave.session import shared_dir
+from listweave.streaming import delta
 from listweave.tables import stash
-from listweave.testview import NOW, SETTINGS, literal_timestamp, oracle, rated, raw
+from listweave.testview import NOW, SETTINGS, literal_timestamp, oracle, rated, raw, spread
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -633,9 +638,15 @@ def run_summary(s, d):
 # --- extraction: bodies are built from the tables, one per nation -----------------------
 
 
+#: A body holds at most so many records, however large a source is.
+BODY_ROWS = 100
+
+
 def _bodies(s, d, body) -> DataFrame:
-    rows = s.read.parquet(f"{d}/customer.parquet").withColumn("source_id", F.concat(F.lit("n"), F.col("c_nationkey").cast("string")))
-    return rows.groupBy("source_id").agg(body.alias("body"))
+    rows = spread(s.read.parquet(f"{d}/customer.parquet")).withColumn("source_id", F.concat(F.lit("n"), F.col("c_nationkey").cast("string")))
+    rows = rows.withColumn("capture", F.floor(F.col("c_custkey") / BODY_ROWS))
+    url = F.concat(F.lit("https://ex.com/list/"), F.first("c_nationkey").cast("string"), F.lit("/page?n=1"))
+    return rows.groupBy("source_id", "capture").agg(body.alias("body"), url.alias("capture_url"))
 
 
 _CUSTOMER = "SELECT 'n' || c_nationkey AS source_id, CAST(c_custkey AS VARCHAR) AS key, c_name AS name FROM customer"
@@ -676,3 +687,106 @@ def rejects(s, d):
     items = F.collect_list(F.struct(F.col("c_custkey").alias("key"), name.alias("name")))
     rows = extract.json_array(_bodies(s, d, F.to_json(items)), "", {"key": "key", "name": "name"})
     return extract.split_rejects(rows, ["key", "name"]).groupBy("source_id", "reject_reason").agg(F.count("*").alias("n"))
+
+
+_EDGE = """SELECT 'n' || c_nationkey AS source_id, CAST(c_custkey AS VARCHAR) AS key, c_name AS name, CASE WHEN c_custkey % 5 = 0 THEN 'no_start' WHEN c_custkey % 7 = 0 THEN 'online' WHEN c_nationkey > 12 THEN 'out_of_area' END AS reject_reason FROM customer"""
+
+
+@query(_EDGE)
+def extract_edges_json(s, d):
+    key = F.col("c_custkey")
+    node = F.struct(key.alias("key"), F.when(key % 5 != 0, "2024-01-12T19:00:00").alias("start"), (key % 7 == 0).alias("online"), F.struct(F.col("c_name").alias("name"), F.when(F.col("c_nationkey") > 12, "Szeged").otherwise("Budapest").alias("city")).alias("venue"))
+    edges = F.collect_list(F.struct(node.alias("node")))
+    bodies = _bodies(s, d, F.to_json(F.struct(F.struct(F.struct(edges.alias("edges")).alias("events")).alias("data"))))
+    rows = extract.json_array(bodies, "data.events.edges", {"key": "node.key", "name": "node.venue.name", "start": "node.start", "online": "node.online", "city": "node.venue.city"})
+    rules = [("no_start", F.col("start").isNull()), ("online", F.col("online") == "true"), ("out_of_area", F.col("city") != "Budapest")]
+    return extract.ruled_out(rows, rules).select("source_id", "key", "name", "reject_reason")
+
+
+@query("""SELECT 'n' || c_nationkey AS source_id, CAST(c_custkey AS VARCHAR) AS key, 'boardgame' AS native_category FROM customer WHERE c_custkey % 5 <> 0 AND c_custkey % 7 <> 0 AND c_nationkey <= 12""")
+def extract_calendar_json(s, d):
+    key = F.col("c_custkey")
+    item = F.struct(key.alias("id"), F.when(key % 5 == 0, "cancelled").otherwise("confirmed").alias("status"), F.struct(F.when(key % 7 != 0, "2024-01-12T19:00:00+01:00").alias("dateTime")).alias("start"), F.concat(F.lit("Hall, "), F.when(F.col("c_nationkey") > 12, "6720 Szeged").otherwise("1117 Budapest")).alias("location"))
+    bodies = _bodies(s, d, F.to_json(F.struct(F.collect_list(item).alias("items"))))
+    rows = extract.json_array(bodies, "items", {"key": "id", "status": "status", "start": "start.dateTime", "location": "location"})
+    area = places.derive_city(F.lit(None).cast("string"), F.lit(None).cast("string"), F.col("location"))
+    rules = [("cancelled", F.col("status") == "cancelled"), ("all_day", F.col("start").isNull()), ("out_of_area", F.coalesce(area, F.lit("")) != "Budapest")]
+    return extract.ruled_out(rows, rules).filter("reject_reason IS NULL").select("source_id", "key", F.lit("boardgame").alias("native_category"))
+
+
+@query("SELECT 'n' || c_nationkey AS source_id, CAST(c_custkey AS VARCHAR) AS number, CASE WHEN c_custkey % 3 <> 0 THEN 'true' END AS flag, CAST(NULL AS VARCHAR) AS wrong FROM customer")
+def extract_json_field(s, d):
+    item = F.struct(F.struct(F.col("c_custkey").alias("n"), F.when(F.col("c_custkey") % 3 != 0, True).alias("b")).alias("a"), F.lit("x").alias("s"))
+    return extract.json_array(_bodies(s, d, F.to_json(F.collect_list(item))), "", {"number": "a.n", "flag": "a.b", "wrong": "s.deeper.still"}).drop("position")
+
+
+_MAPPING = {
+    "title": {"path": "venue.name", "transforms": ["html_unescape", "strip", "lower", "truncate:14"]},
+    "url": {"path": "link", "absolute": True},
+    "price_raw": {"path": "balance", "transforms": ["regex:^-?(\\d+)\\.(\\d+):1"], "optional": True},
+    "start_raw": {"path": "start", "optional": True},
+}
+_MAPPED = """
+SELECT 'n' || c_nationkey AS source_id, left(lower(trim(' ' || c_name || ' & Co ')), 14) AS title,
+  CASE c_custkey % 4 WHEN 0 THEN 'https://ex.com/c/' || c_custkey WHEN 1 THEN 'https://ex.com/list/' || c_nationkey || '/c' || c_custkey WHEN 2 THEN 'http://other.hu/' || c_custkey END AS url,
+  CASE WHEN c_custkey % 6 <> 0 THEN regexp_extract(b, '^-?(\\d+)\\.(\\d+)', 1) END AS price_raw, CASE WHEN c_custkey % 4 = 3 THEN 'missing_url' END AS reject_reason
+FROM (SELECT *, CAST(CAST(c_acctbal AS DECIMAL(12, 2)) AS VARCHAR) AS b FROM customer)"""
+
+
+def _mapped(s, d):
+    key = F.col("c_custkey").cast("string")
+    link = F.when(F.col("c_custkey") % 4 == 0, F.concat(F.lit("/c/"), key)).when(F.col("c_custkey") % 4 == 1, F.concat(F.lit("c"), key)).when(F.col("c_custkey") % 4 == 2, F.concat(F.lit("http://other.hu/"), key)).otherwise("")
+    balance = F.when(F.col("c_custkey") % 6 != 0, F.col("c_acctbal").cast("decimal(12,2)").cast("string"))
+    item = F.struct(F.struct(F.concat(F.lit("  "), "c_name", F.lit(" &amp; Co ")).alias("name")).alias("venue"), link.alias("link"), balance.alias("balance"))
+    return sources.mapped(extract.items_of(_bodies(s, d, F.to_json(F.collect_list(item))), ""), _MAPPING)
+
+
+@query(f"SELECT * FROM ({_MAPPED}) WHERE reject_reason IS NULL")
+def map_to_raw(s, d):
+    return _mapped(s, d).filter("reject_reason IS NULL").select("source_id", "title", "url", "price_raw", "reject_reason")
+
+
+@query(f"SELECT source_id, reject_reason, count(*) AS n FROM ({_MAPPED}) GROUP BY ALL")
+def transforms(s, d):
+    """Rows of a mapping by the reason of their rejection."""
+    return _mapped(s, d).groupBy("source_id", "reject_reason").agg(F.count("*").alias("n"))
+
+
+@query("SELECT row_number() OVER (ORDER BY event_id % 4, event_id // 100, event_id) AS ord, 's' || (event_id % 4) AS source_id, event_id, CASE WHEN event_id % 4 = 1 THEN value END AS value FROM events")
+def union_sources(s, d):
+    """Captures of four sources, of which only one has a value, in one order."""
+    events = spread(s.read.parquet(f"{d}/events.parquet"))
+    rows = events.select(F.concat(F.lit("s"), (F.col("event_id") % 4).cast("string")).alias("source_id"), F.floor(F.col("event_id") / 100).alias("capture"), (F.col("event_id") % 100).alias("position"), "event_id", "value")
+    tables = [rows.filter(F.col("source_id") == f"s{k}") for k in range(4)]
+    return sources.united([t if k == 1 else t.drop("value") for k, t in enumerate(tables)]).select("ord", "source_id", "event_id", "value")
+
+
+# --- the delta view as a stream -----------------------------------------------------------
+
+_PARTS = 3
+_TOLD = f"""
+arrived AS (SELECT *, ord * {_PARTS} // (SELECT count(*) FROM events) AS part FROM listing),
+same_day AS MATERIALIZED (SELECT DISTINCT l.title_norm AS a, g.title_norm AS b FROM arrived l JOIN arrived g ON g.effective_date = l.effective_date AND g.part < l.part),
+{rated('same_day', 'told', 92)},
+likes AS MATERIALIZED (SELECT a, b FROM told WHERE ratio >= 92),
+batch0 AS MATERIALIZED (SELECT * FROM arrived WHERE part = 0 QUALIFY row_number() OVER (PARTITION BY id ORDER BY ord) = 1)""" + "".join(
+    f""",
+seen{k} AS MATERIALIZED (SELECT id, title_norm, effective_date FROM ({' UNION ALL '.join(f'SELECT * FROM batch{j}' for j in range(k))}) WHERE coalesce(CAST("end" AS DATE), effective_date) >= DATE '{TODAY}'),
+known{k} AS MATERIALIZED (SELECT id FROM seen{k} UNION SELECT a.id FROM arrived a JOIN likes ON likes.a = a.title_norm JOIN seen{k} g ON g.effective_date = a.effective_date AND g.title_norm = likes.b WHERE a.part = {k}),
+batch{k} AS MATERIALIZED (SELECT * FROM arrived WHERE part = {k} AND id NOT IN (SELECT id FROM known{k}) QUALIFY row_number() OVER (PARTITION BY id ORDER BY ord) = 1)"""
+    for k in range(1, _PARTS)
+)
+
+
+@query(_sql(" UNION ALL ".join(f"SELECT ord, id, {k}::BIGINT AS batch FROM batch{k}" for k in range(_PARTS)), _TOLD.strip()))
+def delta_stream(s, d):
+    """Raw listings arrive in three parts; the stream ends after each and goes on
+    from its checkpoint."""
+    rows = stash(raw(s, d), "raw")
+    total = s.read.parquet(f"{d}/events.parquet").agg(F.count("*").alias("total"))
+    parted = rows.join(F.broadcast(total)).withColumn("part", F.floor(F.col("ord") * _PARTS / F.col("total"))).drop("total")  # one row
+    folder = f"{shared_dir(s)}/stream-{uuid.uuid4().hex}"
+    for k in range(_PARTS):
+        parted.filter(F.col("part") == k).drop("part").write.mode("append").parquet(f"{folder}/raw")
+        delta.delta_stream(s, f"{folder}/raw", rows.schema, folder, SETTINGS, literal_timestamp()).awaitTermination()
+    return delta.delivered(s, folder, T.StructType.fromDDL("ord long, id string"))

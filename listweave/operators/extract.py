@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -40,3 +40,17 @@ def split_rejects(rows: DataFrame, required: list[str]) -> DataFrame:
     for name in reversed(required):
         reason = F.when(F.coalesce(F.trim(name), F.lit("")) == "", f"missing_{name}").otherwise(reason)
     return rows.withColumn("reject_reason", reason)
+
+
+def items_of(captures: DataFrame, path: str) -> DataFrame:
+    """(source_id, capture_url, position, item) of the array at ``path``."""
+    items = F.try_variant_get(F.try_parse_json("body"), f"$.{path}" if path else "$", "array<variant>")
+    return captures.select("source_id", "capture_url", F.posexplode(items).alias("position", "item"))
+
+
+def ruled_out(rows: DataFrame, rules: list[tuple[str, Column]]) -> DataFrame:
+    """``rows`` with ``reject_reason``: the first rule that holds, null if none does."""
+    reason = F.lit(None).cast("string")
+    for name, holds in reversed(rules):
+        reason = F.when(F.coalesce(holds, F.lit(False)), name).otherwise(reason)
+    return rows.withColumn("reject_reason", reason)
