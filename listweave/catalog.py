@@ -6,6 +6,7 @@ from the Spark code; arrays leave as joined text."""
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from pyspark.sql import types as T
 from listweave.config import VENUE_MATCH_RATIO
 from listweave.functions import places, similarity
 from listweave.functions import text as texts
-from listweave.operators import extract, merge, normalize, present, rank, sources, state
+from listweave.operators import assist, extract, merge, normalize, present, rank, sources, state
 from listweave.session import shared_dir
 from listweave.streaming import delta
 from listweave.tables import stash
@@ -790,3 +791,106 @@ def delta_stream(s, d):
         parted.filter(F.col("part") == k).drop("part").write.mode("append").parquet(f"{folder}/raw")
         delta.delta_stream(s, f"{folder}/raw", rows.schema, folder, SETTINGS, literal_timestamp()).awaitTermination()
     return delta.delivered(s, folder, T.StructType.fromDDL("ord long, id string"))
+
+
+# --- rule tables and the assist steps -------------------------------------------------------
+
+_KEYWORDS = "SELECT DISTINCT CASE p_partkey % 3 WHEN 0 THEN p_name WHEN 1 THEN left(p_name, 4) || '*' ELSE split_part(p_name, ' ', 2) || '$' END AS keyword FROM part"
+
+
+@query(_sql("SELECT ord, keyword FROM listing JOIN hits USING (title)", f"""
+held AS MATERIALIZED (SELECT title, keyword FROM (SELECT DISTINCT title FROM listing) t JOIN ({_KEYWORDS}) k ON contains(lower(strip_accents(title)), rtrim(keyword, '*$'))),
+hits AS MATERIALIZED (SELECT * FROM held WHERE regexp_matches(lower(strip_accents(title)), '(^|[^\\pL\\pN_])' || rtrim(keyword, '*$') || CASE WHEN right(keyword, 1) = '*' OR (right(keyword, 1) <> '$' AND length(keyword) >= 5) THEN '' ELSE '($|[^\\pL\\pN_])' END))""".strip()))
+def keyword_join(s, d):
+    """Every part gives a keyword: a phrase, a prefix or a whole word."""
+    name, key = F.col("p_name"), F.col("p_partkey") % 3
+    rules = s.read.parquet(f"{d}/part.parquet").select(F.when(key == 0, name).when(key == 1, F.concat(F.left(name, F.lit(4)), F.lit("*"))).otherwise(F.concat(F.split_part(name, F.lit(" "), F.lit(2)), F.lit("$"))).alias("keyword"))
+    listings = _kept(s, d, "ord", "title").select(F.col("ord").alias("key"), texts.fold_text("title").alias("haystack"))
+    return rank.keyword_matches(listings, rules).withColumnRenamed("key", "ord")
+
+
+_ASKED = f"""
+once AS MATERIALIZED (SELECT *, sha256(title || chr(10) || coalesce(description, '')) AS content_hash FROM cat QUALIFY row_number() OVER (PARTITION BY id ORDER BY ord) = 1),
+asked AS (SELECT * FROM once WHERE categories = ['egyeb'] AND length(description) > 200),
+cache AS (SELECT DISTINCT content_hash, 'walk' AS category FROM asked WHERE ord % 9 = 0),
+reps AS (SELECT content_hash, min(ord) AS ord, arg_min(id, ord) AS id FROM asked WHERE content_hash NOT IN (SELECT content_hash FROM cache) GROUP BY content_hash),
+plan AS (SELECT *, (row_number() OVER (ORDER BY ord) - 1) // {SETTINGS.assist_batch_size} AS batch FROM reps),
+replies AS (SELECT batch, id, content_hash, CASE ord % 5 WHEN 0 THEN 'music' WHEN 1 THEN 'walk' WHEN 2 THEN 'opera' END AS category FROM plan WHERE ord % 5 < 4),
+answered AS (SELECT content_hash, category FROM replies WHERE category IN ('music', 'shop', 'walk') UNION ALL SELECT * FROM cache),
+judged AS (SELECT o.ord, o.id, o.categories AS before, CASE WHEN n.category IS NOT NULL THEN [n.category] ELSE o.categories END AS categories FROM once o LEFT JOIN asked a ON a.ord = o.ord LEFT JOIN answered n ON n.content_hash = a.content_hash)"""
+
+
+def _assisted(s, d):
+    """(listings, those asked about, cache, plan); one listing of each id."""
+    rows = _categorized(s, d).drop("hidden")
+    first = rows.groupBy("id").agg(F.min("ord").alias("ord"))
+    once = stash(rows.drop("haystack").join(first.select("ord"), "ord", "left_semi"), "once")
+    asked = assist.eligible(once, SETTINGS)
+    cache = stash(asked.filter("ord % 9 = 0").select(assist.content_hash().alias("content_hash"), F.lit("walk").alias("category")).distinct(), "cache")
+    return once, asked, cache, stash(assist.batch_plan(asked, cache, SETTINGS), "plan")
+
+
+def _answers(plan: DataFrame) -> DataFrame:
+    """What a model might reply: fenced objects with names, unknown names, numbers
+    and gaps; one per batch, which holds a batch's rows at most."""
+    name = F.when(F.col("ord") % 5 == 0, '"music"').when(F.col("ord") % 5 == 1, '"walk"').when(F.col("ord") % 5 == 2, '"opera"').otherwise("7")
+    pair = F.when(F.col("ord") % 5 < 4, F.concat(F.lit('"'), "id", F.lit('": '), name))
+    text = F.concat(F.lit("```json\n{"), F.array_join(F.collect_list(pair), ", "), F.lit("}\n```"))
+    return assist.answers(plan.groupBy("batch").agg(text.alias("text")))
+
+
+@query(_sql("SELECT ord, content_hash FROM asked", CAT, _ASKED))
+def llm_eligible(s, d):
+    return _assisted(s, d)[1].select("ord", assist.content_hash().alias("content_hash"))
+
+
+@query(_sql("SELECT content_hash, id, ord, batch FROM plan", CAT, _ASKED))
+def llm_batch_plan(s, d):
+    return _assisted(s, d)[3].drop("called")
+
+
+@query(_sql("SELECT batch, id, category FROM replies WHERE category IS NOT NULL", CAT, _ASKED))
+def llm_parse_response(s, d):
+    return _answers(_assisted(s, d)[3])
+
+
+def _judged(s, d):
+    once, asked, cache, plan = _assisted(s, d)
+    return once, assist.applied(once, asked, cache.unionByName(assist.named(plan, _answers(plan), SETTINGS)))
+
+
+@query(_sql("SELECT ord, array_to_string(categories, ',') AS categories FROM judged", CAT, _ASKED))
+def llm_apply(s, d):
+    return _judged(s, d)[1].select("ord", F.array_join("categories", ",").alias("categories"))
+
+
+@query(_sql("SELECT before[1] AS rule, categories[1] AS model, count(*) AS n FROM judged GROUP BY ALL", CAT, _ASKED))
+def llm_compare(s, d):
+    return assist.compared(*_judged(s, d))
+
+
+@query(_sql("""SELECT (SELECT count(*) FROM listing_all) AS raw, (SELECT count(*) FROM listing_all WHERE drop_reason = 'dropped_past') AS dropped_as_past,
+  (SELECT count(*) FROM reasons WHERE reason IS NOT NULL) AS dropped_by_content, (SELECT count(*) FROM reasons WHERE reason LIKE 'geo%') AS dropped_by_geo,
+  (SELECT count(*) FROM scored) - (SELECT count(*) FROM final) AS dropped_by_min_score, (SELECT count(*) FROM final WHERE venue_name IS NULL) AS ungrouped_venueless,
+  (SELECT count(*) FROM view) AS published, (SELECT count(*) FROM view WHERE id IN (SELECT id FROM sent)) AS suppressed_by_ledger, (SELECT count(*) FROM limited) AS sent""", CAT, FILTERED, SCORED, LIMITED))
+def fork_views(s, d):
+    """One materialised parent of both views, and the run's counters on the way."""
+    every = _table(s, d)
+    rows = normalize.kept(every)
+    ids = stash(state.sent_ids(rows, state.purged(_ledger_of(every), _today())), "sent")
+    some = stash(rank.flagged(rank.categorized(rank.with_text(rows), SETTINGS), hidden=_picked(rows, 13)).withColumn("reason", rank.exclusion(SETTINGS, _hidden())), "categorized")
+    passed = rank.flagged(some.filter("reason IS NULL"), sent=ids, pinned=_picked(rows, 101))
+    scored = stash(rank.scored(passed, SETTINGS, literal_timestamp(), F.col("sent"), F.col("pinned")).drop("haystack"), "scored")
+    kept = scored.filter(F.col("score") >= SETTINGS.filters.min_score)
+    view = stash(present.grouped(kept, SETTINGS), "view")
+    fresh = stash(present.limited(state.unsent(view, ids), SETTINGS), "delta")
+    count = lambda df, **tests: df.agg(*[F.count_if(c).alias(n) for n, c in tests.items()]).select(F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).alias("n")) for n in tests])).alias("c")).select("c.*")
+    yes = F.lit(True)
+    counts = [
+        count(every, raw=yes, dropped_as_past=F.col("drop_reason") == "dropped_past"),
+        count(some, dropped_by_content=F.col("reason").isNotNull(), dropped_by_geo=F.col("reason").startswith("geo")),
+        count(scored, dropped_by_min_score=F.col("score") < SETTINGS.filters.min_score, ungrouped_venueless=(F.col("score") >= SETTINGS.filters.min_score) & F.col("venue_name").isNull()),
+        count(view, published=yes), count(view.join(ids, "id", "left_semi"), suppressed_by_ledger=yes), count(fresh, sent=yes),
+    ]
+    names = ["raw", "dropped_as_past", "dropped_by_content", "dropped_by_geo", "dropped_by_min_score", "ungrouped_venueless", "published", "suppressed_by_ledger", "sent"]
+    return reduce(DataFrame.union, counts).agg(*[F.max(F.when(F.col("name") == n, F.col("n"))).alias(n) for n in names])

@@ -145,3 +145,21 @@ def flagged(listings: DataFrame, **ids: DataFrame) -> DataFrame:
     for name, table in ids.items():
         listings = listings.join(table.select("id").distinct().withColumn(name, F.lit(True)), "id", "left").withColumn(name, F.coalesce(name, F.lit(False)))
     return listings
+
+
+def keyword_matches(texts: DataFrame, rules: DataFrame) -> DataFrame:
+    """(key, keyword): which keywords of a table (keyword) the folded texts (key,
+    haystack) hold. A keyword's first run of letters and digits must stand in a
+    text as a word, or as the start of one if the keyword is a prefix, so texts
+    and rules meet on it by equality and only such pairs are verified: the plan
+    does not grow with the rules."""
+    word, whole = text.keyword_rule(F.col("keyword"))
+    table = rules.select("keyword", word.alias("word"), whole.alias("whole")).filter("word <> ''").distinct()
+    first = F.coalesce(F.get(F.filter(F.split("word", r"(?U)\W+"), lambda w: w != ""), F.lit(0)), F.lit(""))
+    start = ~F.col("whole") & F.rlike("word", F.lit(r"(?U)^\W*\w+$"))
+    indexed = table.withColumn("meet", F.concat(F.when(start, "p").otherwise("t"), first))
+    tokens = F.array_distinct(F.split("haystack", r"(?U)\W+"))
+    parts = F.flatten(F.transform(F.filter(tokens, lambda w: w != ""), lambda w: F.transform(F.sequence(F.lit(1), F.length(w)), lambda n: F.concat(F.lit("p"), F.left(w, n)))))
+    keys = F.array_distinct(F.concat(F.transform(tokens, lambda w: F.concat(F.lit("t"), w)), parts, F.array(F.lit("t"))))
+    met = texts.select("key", "haystack", F.explode(keys).alias("meet")).join(indexed, "meet")
+    return met.filter(text.holds_word(F.col("haystack"), F.col("word"), F.col("whole"))).select("key", "keyword").distinct()
