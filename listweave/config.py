@@ -51,23 +51,23 @@ SCORE_TERMS = (
 # stands for the top level. Sections of free names (categories, sources) are
 # checked one level deeper.
 CONFIG_KEYS = {
-    "": "schedule fetch categories min_category_score fallback_category grouping recurrence night_shift newsletter llm delivery site home scoring filters sources",
-    "schedule": "timezone horizon_days",
-    "grouping": "collapse_by min_group_size max_per_venue",
-    "recurrence": "series_threshold_days series_behavior run_behavior",
-    "night_shift": "before_hour",
-    "newsletter": "per_category_limit total_limit send_when_empty expiring_section ledger_records",
-    "newsletter.expiring_section": "enabled within_days",
-    "llm": "enabled provider model batch_size max_calls_per_run on_quota_error only_for",
-    "site": "base_url base_path archive_keep_days",
-    "home": "district lat lon",
-    "scoring": "category_weights keyword_boosts free_bonus cheap_bonus proximity novelty_bonus soon_bonus weekday_weights",
-    "scoring.cheap_bonus": "under_huf points",
-    "scoring.soon_bonus": "within_days points",
-    "scoring.proximity": "same_district_bonus penalty_cap_km distance_penalty_per_km",
-    "filters": "categories max_price_huf blocked_keywords min_score geo",
-    "filters.geo": "city allow_missing_city max_distance_km",
-    "categories.*": "keywords venue_prior url_patterns native_types",
+    "": ("schedule", "fetch", "categories", "min_category_score", "fallback_category", "grouping", "recurrence", "night_shift", "newsletter", "llm", "delivery", "site", "home", "scoring", "filters", "sources"),
+    "schedule": ("timezone", "horizon_days"),
+    "grouping": ("collapse_by", "min_group_size", "max_per_venue"),
+    "recurrence": ("series_threshold_days", "series_behavior", "run_behavior"),
+    "night_shift": ("before_hour",),
+    "newsletter": ("per_category_limit", "total_limit", "send_when_empty", "expiring_section", "ledger_records"),
+    "newsletter.expiring_section": ("enabled", "within_days"),
+    "llm": ("enabled", "provider", "model", "batch_size", "max_calls_per_run", "on_quota_error", "only_for"),
+    "site": ("base_url", "base_path", "archive_keep_days"),
+    "home": ("district", "lat", "lon"),
+    "scoring": ("category_weights", "keyword_boosts", "free_bonus", "cheap_bonus", "proximity", "novelty_bonus", "soon_bonus", "weekday_weights"),
+    "scoring.cheap_bonus": ("under_huf", "points"),
+    "scoring.soon_bonus": ("within_days", "points"),
+    "scoring.proximity": ("same_district_bonus", "penalty_cap_km", "distance_penalty_per_km"),
+    "filters": ("categories", "max_price_huf", "blocked_keywords", "min_score", "geo"),
+    "filters.geo": ("city", "allow_missing_city", "max_distance_km"),
+    "categories.*": ("keywords", "venue_prior", "url_patterns", "native_types"),
 }
 
 
@@ -80,7 +80,7 @@ def check_keys(data: Mapping[str, Any]) -> None:
             found = [v for f in found if isinstance(f, Mapping) for v in (f.values() if step == "*" else [f.get(step)])]
         for f in found:
             if isinstance(f, Mapping):
-                unknown += [f"{section}.{k}".lstrip(".") for k in f if k not in allowed.split()]
+                unknown += [f"{section}.{k}".lstrip(".") for k in f if k not in allowed]
     if unknown:
         raise ValueError(f"unknown configuration keys: {sorted(unknown)}")
 
