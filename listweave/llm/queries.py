@@ -95,4 +95,27 @@ def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_packing, op3_bpe, op4_suffixes, op5_language, op6_passages, op7_near_duplicates, op8_fingerprints, op9_vectors, op10_licenses, op11_chat, op12_repair, op13_trie)}
-ORACLES: dict[str, str] = {"op11_chat": chat.ORACLE, "op12_repair": repair.ORACLE, "op13_trie": trie.ORACLE}
+#: DuckDB: the whole link graph from all shared shingles, or all pairs of vectors.
+_COMPONENTS = """
+links AS MATERIALIZED (SELECT a, b FROM pairs UNION SELECT b, a FROM pairs),
+reach(node, low) AS (SELECT node, node FROM nodes UNION SELECT l.b, r.low FROM reach r JOIN links l ON l.a = r.node WHERE r.low < l.b),
+component AS (SELECT node, min(low) AS component_id FROM reach GROUP BY node)"""
+NEAR_TEXTS = r"""
+WITH RECURSIVE worded AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingled AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k + 4], ' '))) END AS s FROM worded),
+alike AS MATERIALIZED (SELECT s, min(doc_id) AS node, len(s) AS n FROM (SELECT doc_id, list_sort(s) AS s FROM shingled) GROUP BY s),
+posted AS MATERIALIZED (SELECT node, n, md5(unnest(s)) AS x FROM alike),
+pairs AS MATERIALIZED (SELECT a.node AS a, b.node AS b FROM posted a JOIN posted b ON a.x = b.x AND a.node < b.node AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n) GROUP BY 1, 2, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+nodes AS (SELECT node FROM alike),""" + _COMPONENTS + """
+SELECT d.doc_id, len(d.s) AS n_shingles, CASE WHEN len(d.s) = 0 THEN d.doc_id ELSE component_id END AS component_id, CASE WHEN len(d.s) = 0 THEN true ELSE d.doc_id = component_id END AS kept
+FROM shingled d JOIN alike a ON a.s = list_sort(d.s) JOIN component c ON c.node = a.node"""
+NEAR_VECTORS = """
+WITH RECURSIVE sound AS MATERIALIZED (SELECT vec_id, v, sqrt(list_dot_product(v, v)) AS size FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE embedding IS NOT NULL)
+  WHERE len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_dot_product(v, v) > 0),
+pairs AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b ON a.vec_id < b.vec_id WHERE list_dot_product(a.v, b.v) / (a.size * b.size) >= 0.95),
+nodes AS (SELECT vec_id AS node FROM embeddings),""" + _COMPONENTS + """
+SELECT node AS vec_id, (SELECT count(*) FROM links WHERE a = node) AS n_links, component_id, node = component_id AS kept FROM component"""
+
+ORACLES: dict[str, str] = {
+    "op7_near_duplicates": NEAR_TEXTS, "op9_vectors": NEAR_VECTORS, "op11_chat": chat.ORACLE, "op12_repair": repair.ORACLE, "op13_trie": trie.ORACLE,
+}
