@@ -197,13 +197,16 @@ def damaged(turns: DataFrame) -> DataFrame:
 
 
 _CRC = "xor(list_reduce([4294967295::BIGINT] || [ord(x)::BIGINT FOR x IN string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), '')], lambda c, b: list_reduce([xor(c, b)] || [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda v, z: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)), 4294967295)"
+# a conversation without id is one of its own; here a number stands for it, so that joins find it
+_NO_ID = "-9223372036854775807"
+_ID = f"coalesce(conv_id, {_NO_ID})"
 _LAST = "rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
 #: The costs `v` of the rest by state (1 to 4: nothing yet, s, u, a) before a row, from those after it.
 _PLAIN = """least(4 + v[1], pen + 3 + v[3], CASE ini WHEN 's' THEN pen + v[2] WHEN 'u' THEN pen + v[3] END), least(4 + v[2], pen + 3 + v[3], CASE WHEN ini = 'u' THEN pen + v[3] END),
   least(4 + v[3], pen + 3 + v[4], CASE WHEN ini = 'a' THEN pen + v[4] END), least(4 + v[4], pen + 3 + v[3], CASE WHEN ini = 'u' THEN pen + v[3] END)"""
 #: DuckDB: costs backward row by row, then the walk forward, edit by edit.
 ORACLE = f"""
-WITH RECURSIVE hurt AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_CRC} % 20 AS k FROM conversations),
+WITH RECURSIVE hurt AS (SELECT {_ID} AS conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_CRC} % 20 AS k FROM conversations),
 damaged AS (SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role, CASE k WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
   FROM (SELECT *, unnest(CASE WHEN k = 3 THEN [0, 1] ELSE [0] END) FROM hurt WHERE k <> 0)),
 placed AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged),
@@ -225,6 +228,6 @@ walk(conv_id, i, s, audit, left_) AS (SELECT conv_id, 1::BIGINT, 1, '', []::VARC
 final AS (SELECT conv_id, arg_max(audit, length(audit)) AS audit, sha256(array_to_string(arg_max(left_, length(audit)), chr(10))) AS repaired_sha256 FROM walk GROUP BY conv_id),
 counts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
   count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM (SELECT *, lag(ini) OVER (PARTITION BY conv_id ORDER BY i) || ini AS pair FROM r) GROUP BY conv_id)
-SELECT a.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+SELECT nullif(a.conv_id, {_NO_ID}) AS conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
   coalesce(b.v[1], 0)::BIGINT AS cost, coalesce(audit, '') AS audit, coalesce(repaired_sha256, sha256('')) AS repaired_sha256
-FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN counts USING (conv_id) LEFT JOIN final USING (conv_id) LEFT JOIN back b ON b.conv_id = a.conv_id AND b.i = 1"""
+FROM (SELECT DISTINCT {_ID} AS conv_id FROM conversations) a LEFT JOIN counts USING (conv_id) LEFT JOIN final USING (conv_id) LEFT JOIN back b ON b.conv_id = a.conv_id AND b.i = 1"""

@@ -3,6 +3,7 @@
 import hashlib
 import json
 import random
+import sys
 import zlib
 from functools import lru_cache
 
@@ -122,6 +123,8 @@ def best(rows):
     """(cost, edits) of rows (initial, fault), least by cost, then as text."""
     fit, end, after = {"": "u", "s": "u", "u": "a", "a": "u"}, ("", "a"), {("", "s"), ("", "u"), ("s", "u"), ("u", "a"), ("a", "u")}
 
+    sys.setrecursionlimit(10_000)
+
     @lru_cache(None)
     def rest(i, last, inserts):
         ways = []
