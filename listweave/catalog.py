@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from listweave.config import VENUE_MATCH_RATIO
-from listweave.functions import places, similarity
+from listweave.functions import places, prices, similarity, timeparse
 from listweave.functions import text as texts
-from listweave.operators import assist, extract, merge, normalize, present, rank, sources, state
+from listweave.operators import assist, display, extract, merge, normalize, present, rank, sources, state
 from listweave.session import shared_dir
 from listweave.streaming import delta
 from listweave.tables import stash
@@ -412,9 +412,18 @@ def facets_present(s, d):
     return _final(s, d).filter("district IS NOT NULL").groupBy("district").agg(F.count("*").alias("n"), F.count_if("is_free").alias("free"))
 
 
-@query(_sql("SELECT ord FROM final WHERE contains(lower(strip_accents(title || ' ' || coalesce(venue_name, ''))), 'asia')", CAT, FILTERED, SCORED))
+_LABELS = "CASE c WHEN 'egyeb' THEN 'Egyéb' ELSE c END"
+_HAY = f"lower(strip_accents(title || ' ' || coalesce(venue_name || ' ', '') || array_to_string(list_transform(categories, lambda c: {_LABELS}), ' ')))"
+
+
+@query(_sql(f"SELECT ord FROM final WHERE contains({_HAY}, 'asia')", CAT, FILTERED, SCORED))
 def search_text(s, d):
-    return _final(s, d).filter(texts.fold_text(F.concat("title", F.lit(" "), F.coalesce("venue_name", F.lit("")))).contains("asia")).select("ord")
+    return present.searched(_final(s, d), "asia").select("ord")
+
+
+@query(_sql(f"SELECT ord FROM final WHERE contains({_HAY}, 'egyeb')", CAT, FILTERED, SCORED))
+def search_labels(s, d):
+    return present.searched(_final(s, d), " EGYÉB").select("ord")
 
 
 # --- duplicates ----------------------------------------------------------------------
@@ -894,3 +903,138 @@ def fork_views(s, d):
     ]
     names = ["raw", "dropped_as_past", "dropped_by_content", "dropped_by_geo", "dropped_by_min_score", "ungrouped_venueless", "published", "suppressed_by_ledger", "sent"]
     return reduce(DataFrame.union, counts).agg(*[F.max(F.when(F.col("name") == n, F.col("n"))).alias(n) for n in names])
+
+
+# --- what a reader sees ------------------------------------------------------------
+
+
+_MONTHS_SQL = "(['" + "', '".join(timeparse.MONTHS) + "'])[month({0})] || ' ' || day({0}) || '.'"
+_DAYS_SQL = "CASE date_diff('day', DATE '{1}', {0}) WHEN 0 THEN 'ma' WHEN 1 THEN 'holnap' ELSE (['" + "', '".join(display.WEEKDAYS) + "'])[isodow({0})] END || ', ' || " + _MONTHS_SQL
+_WHEN = _DAYS_SQL.format("effective_date", TODAY)
+
+
+@query(_sql(f"""SELECT id, CASE WHEN group_size > 1 THEN 'Egy helyszín, több program · ' || group_size || ' program · ' || {_WHEN}
+    ELSE {_WHEN} || CASE WHEN start_time_known THEN ', ' || strftime("start", '%H:%M') ELSE '' END END AS when_label,
+  year(effective_date) || '. ' || {_MONTHS_SQL.format('effective_date')} AS full_date, array_to_string(list_transform(categories, lambda c: {_LABELS}), ', ') AS category_labels,
+  CAST(least(7, greatest(0, ceil(score / 2))) AS INTEGER) AS score_bar,
+  CASE WHEN CAST("start" AS DATE) <> effective_date THEN 'éjjel, ' || (['{"', '".join(display.WEEKDAYS_DATIVE)}'])[isodow("start")] END AS night_note,
+  concat_ws(' · ', nullif(venue_name, ''), nullif(district, '') || ' kerület', CASE WHEN is_free THEN 'ingyenes' WHEN price_min IS NULL THEN 'ár nincs megadva' ELSE replace(format('{{:,}}', price_min), ',', ' ') || ' Ft' END) AS meta_text FROM view""", CAT, FILTERED, SCORED, GROUPED))
+def label_columns(s, d):
+    rows = display.labelled(present.grouped(_final(s, d), SETTINGS), _today())
+    return rows.select("id", "when_label", "full_date", "category_labels", "score_bar", "night_note", "meta_text")
+
+
+@query(_sql("SELECT c AS category, count(*) AS n FROM (SELECT unnest(categories) AS c FROM cat) WHERE c <> 'egyeb' GROUP BY c", CAT))
+def missing_labels(s, d):
+    return display.unlabelled(_categorized(s, d))
+
+
+@query(_sql(f"SELECT 'Budapest — ' || year(DATE '{TODAY}') || '. ' || {_MONTHS_SQL.format(f"DATE '{TODAY}'")} || ': ' || CASE count(*) WHEN 0 THEN 'ma nincs semmi' ELSE count(*) || ' új program' END AS subject FROM limited", CAT, FILTERED, SCORED, LIMITED))
+def subject_line(s, d):
+    return display.subject(_delta(s, d), _today())
+
+
+@query(_sql('SELECT id, row_number() OVER (ORDER BY "start", score DESC, ord) AS place FROM view', CAT, FILTERED, SCORED, GROUPED))
+def user_sort(s, d):
+    view = stash(present.grouped(_final(s, d), SETTINGS).select("id", "start", "score", "ord"), "view")
+    return sources.numbered(view, ["start", "score", "ord"], [False, True, False], "place").select("id", "place")
+
+
+@query(_sql(f"""SELECT ord, away = 0 AS today, away = 1 AS tomorrow, away BETWEEN 0 AND 7 AS week, away BETWEEN 0 AND 7 AND isodow(effective_date) IN (5, 6, 7) AS weekend
+  FROM (SELECT *, date_diff('day', DATE '{TODAY}', effective_date) AS away FROM listing)"""))
+def filter_date_range(s, d):
+    rows = _kept(s, d, "ord", "effective_date")
+    return rows.select("ord", *[present.date_range(n, _today()).alias(n) for n in ("today", "tomorrow", "week", "weekend")])
+
+
+@query(_sql("SELECT ord FROM listing WHERE is_free OR price_min IS NULL OR price_min <= 3000"))
+def filter_price_cap(s, d):
+    return present.applied(_kept(s, d, "ord", "is_free", "price_min"), present.filters(max_price=3000)).select("ord")
+
+
+@query(_sql("SELECT ord FROM listing WHERE is_free OR price_min = 0"))
+def filter_free(s, d):
+    return present.applied(_kept(s, d, "ord", "is_free", "price_min"), present.filters(free=True)).select("ord")
+
+
+@query("SELECT CAST(o_orderdate AS DATE) AS run, count(*) AS shown FROM orders GROUP BY ALL ORDER BY run DESC LIMIT 30")
+def run_log_retention(s, d):
+    """A log with a run for each day of orders."""
+    orders = s.read.parquet(f"{d}/orders.parquet")
+    return state.kept_runs(orders.groupBy(F.col("o_orderdate").cast("date").alias("run")).agg(F.count("*").alias("shown")), "run")
+
+
+# --- fields that single sources need ---------------------------------------------------
+
+
+@query(_sql("SELECT ord, CASE WHEN x.a IS NOT NULL THEN regexp_extract(title, '^(.*\\S)\\s+[|-]\\s+.*$', 1) ELSE title END AS stripped FROM tailed t LEFT JOIN suffix x ON x.a = lower(strip_accents(last)) AND x.b = venue_norm AND ratio >= 85", _TAILED))
+def strip_venue_suffix(s, d):
+    rows = _kept(s, d, "ord", "title", "venue_name")
+    return rows.select("ord", merge.strip_venue_suffix("title", "venue_name").alias("stripped"))
+
+
+def _events(s, d, **fields: str) -> DataFrame:
+    """``events`` with text fields written in SQL that both dialects read."""
+    rows = s.read.parquet(f"{d}/events.parquet").withColumn("ts", F.date_trunc("minute", "ts").cast("timestamp_ntz"))
+    return rows.select("event_id", "ts", *[F.expr(sql).alias(n) for n, sql in fields.items()])
+
+
+def _told(**fields: str) -> str:
+    return "(SELECT event_id, ts, " + ", ".join(f"{sql} AS {n}" for n, sql in fields.items()) + " FROM (SELECT * REPLACE (date_trunc('minute', ts) AS ts) FROM events))"
+
+
+_PART = "lpad(CAST({}(ts) AS STRING), 2, '0')".format
+_DAY_TEXT, _CLOCK_TEXT = f"CAST(CAST(ts AS DATE) AS STRING)", f"{_PART('hour')} || ':' || {_PART('minute')}"
+_END = dict(ending=f"CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 11 = 0 THEN 'soon' WHEN event_id % 13 = 0 THEN '- 02. 30. 10:00' WHEN event_id % 17 = 0 THEN ' - 02. 29. 10:00 ' WHEN event_id % 3 = 0 THEN ' - 01. 02. 03:04' ELSE ' - ' || {_PART('month')} || '. ' || {_PART('day')} || '. ' || lpad(CAST(event_id % 24 AS STRING), 2, '0') || ':30' END")
+_SPLIT_START = dict(
+    marker=f"CASE WHEN event_id % 9 = 0 THEN {_DAY_TEXT} WHEN event_id % 10 = 0 THEN NULL ELSE {_DAY_TEXT} || 'T12:00:00.000Z' END",
+    clock=f"CASE event_id % 8 WHEN 0 THEN '24:10' WHEN 1 THEN ' 9:05 ' WHEN 2 THEN '9:5' WHEN 3 THEN NULL WHEN 4 THEN '19:60' ELSE {_CLOCK_TEXT} END",
+)
+_MIDNIGHT = dict(stated=f"{_DAY_TEXT} || 'T' || CASE WHEN event_id % 3 = 0 THEN '00:00' ELSE {_CLOCK_TEXT} END || ':00'", prose="CASE event_id % 4 WHEN 0 THEN NULL WHEN 1 THEN '  ' ELSE 'tomorrow at 7' END")
+_FEE = dict(amount="CASE event_id % 4 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE CAST(event_id % 5000 AS STRING) END", currency="CASE event_id % 3 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE 'EUR' END")
+
+
+@query(f"""SELECT event_id, strftime(CASE WHEN same < ts THEN later ELSE same END, '%Y-%m-%d %H:%M:%S') AS ending FROM (
+  SELECT event_id, ts, try_strptime(year(ts) || ' ' || told, '%Y %m. %d. %H:%M') AS same, try_strptime((year(ts) + 1) || ' ' || told, '%Y %m. %d. %H:%M') AS later
+  FROM (SELECT event_id, ts, CASE WHEN NOT contains(ending, '02. 29.') THEN trim(ltrim(trim(ending), '-')) END AS told FROM {_told(**_END)}))""")
+def resolve_year(s, d):
+    return _events(s, d, **_END).select("event_id", timeparse.resolve_year("ending", F.col("ts")).alias("ending"))
+
+
+@query(f"""SELECT event_id, CASE WHEN contains(marker, 'T') AND regexp_full_match(trim(clock), '\\d{{1,2}}:\\d\\d') AND CAST(split_part(trim(clock), ':', 1) AS INT) < 24 AND CAST(split_part(trim(clock), ':', 2) AS INT) < 60
+  THEN left(marker, 10) || ' ' || lpad(split_part(trim(clock), ':', 1), 2, '0') || ':' || split_part(trim(clock), ':', 2) || ':00' END AS "start" FROM {_told(**_SPLIT_START)}""")
+def combine_start(s, d):
+    return _events(s, d, **_SPLIT_START).select("event_id", timeparse.combine_start("marker", "clock").alias("start"))
+
+
+@query(f"""SELECT event_id, CASE WHEN NOT contains(stated, 'T00:00:00') THEN stated WHEN trim(coalesce(prose, '')) <> '' THEN left(stated, 10) END AS "start",
+  CASE WHEN contains(stated, 'T00:00:00') AND trim(coalesce(prose, '')) = '' THEN 'placeholder_start' END AS reject_reason FROM {_told(**_MIDNIGHT)}""")
+def placeholder_clock(s, d):
+    start, reason = timeparse.placeholder_clock("stated", "prose")
+    return _events(s, d, **_MIDNIGHT).select("event_id", start.alias("start"), reason.alias("reject_reason"))
+
+
+@query(f"SELECT event_id, CASE WHEN amount <> '' THEN amount || ' ' || CASE WHEN currency <> '' THEN currency ELSE 'HUF' END END AS price_raw FROM {_told(**_FEE)}")
+def price_from_parts(s, d):
+    return _events(s, d, **_FEE).select("event_id", prices.price_from_parts("amount", "currency").alias("price_raw"))
+
+
+@query("SELECT page_id, list_filter(string_split(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '/'), lambda p: p <> '')[2] AS category FROM pages")
+def url_category(s, d):
+    return s.read.parquet(f"{d}/pages.parquet").select("page_id", texts.url_category("url").alias("category"))
+
+
+_CALENDAR = dict(
+    told="CASE doc_id % 4 WHEN 0 THEN NULL WHEN 1 THEN text || chr(10) || chr(10) || 'JOIN with Google Meet' || chr(10) || 'https://ex.com/x' WHEN 2 THEN '<br><a href=\"x\">' || replace(replace(text, '<', ''), '&', '') || '</a> &amp; more' ELSE ' Csatlakozás a Google Meet szolgáltatással: x' END",
+    location="CASE doc_id % 6 WHEN 0 THEN 'Club A - Budapest, Fo utca 12345, 9999, 1117 Budapest' WHEN 1 THEN '' WHEN 2 THEN 'Hall – BUDAPEST , 1243 x, 1052' WHEN 3 THEN '6720 Szeged' WHEN 4 THEN NULL ELSE 'Budapest Hall' END",
+)
+
+
+@query(f"""SELECT doc_id, sha256(nullif(trim(regexp_replace(CASE WHEN contains(cut, '<') THEN replace(regexp_replace(cut, '<[^>]*>', ' ', 'gs'), '&amp;', '&') ELSE cut END, '\\s+', ' ', 'g')), '')) AS description,
+  nullif(trim(regexp_replace(split_part(location, ',', 1), '\\s*[-–]\\s*Budapest\\s*$', '', 'i')), '') AS venue,
+  list_filter(regexp_extract_all(location, '\\b(\\d{{4}})\\b', 1), lambda z: left(z, 1) = '1' AND CAST(substr(z, 2, 2) AS INT) BETWEEN 1 AND 23)[1] AS zip
+  FROM (SELECT doc_id, location, regexp_replace(told, '\\n*(Csatlakozás a Google Meet szolgáltatással|Join with Google Meet)\\b.*', '', 'is') AS cut FROM (SELECT doc_id, {', '.join(f"{x} AS {n}" for n, x in _CALENDAR.items())} FROM documents))""")
+def calendar_cleanup(s, d):
+    rows = s.read.parquet(f"{d}/documents.parquet").select("doc_id", *[F.expr(x.replace("chr(10)", "char(10)")).alias(n) for n, x in _CALENDAR.items()])
+    described = F.sha2(extract.calendar_description(F.col("told")), 256)
+    return rows.select("doc_id", described.alias("description"), extract.calendar_venue(F.col("location")).alias("venue"), extract.calendar_zip(F.col("location")).alias("zip"))

@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from listweave.functions import places, text
+
+# How a calendar's own conferencing footer begins.
+CALENDAR_FOOTERS = ("Csatlakozás a Google Meet szolgáltatással", "Join with Google Meet")
+
 
 def json_array(captures: DataFrame, path: str, fields: dict[str, str]) -> DataFrame:
     """Items of the array at ``path`` of each body, one row each; a path that
@@ -54,3 +59,22 @@ def ruled_out(rows: DataFrame, rules: list[tuple[str, Column]]) -> DataFrame:
     for name, holds in reversed(rules):
         reason = F.when(F.coalesce(holds, F.lit(False)), name).otherwise(reason)
     return rows.withColumn("reject_reason", reason)
+
+
+def calendar_description(raw: Column) -> Column:
+    """The text before the conferencing footer, without tags, blanks collapsed;
+    null where nothing is left."""
+    text_ = F.regexp_replace(raw, "(?isu)\\n*(?:" + "|".join(CALENDAR_FOOTERS) + ")\\b.*", "")
+    plain = F.when(text_.contains("<"), text.html_unescape(F.regexp_replace(text_, "(?s)<[^>]*>", " "))).otherwise(text_)
+    return F.nullif(text.collapse_space(plain), F.lit(""))
+
+
+def calendar_venue(location: Column) -> Column:
+    """What stands before the first comma, without the city at its end."""
+    first = F.substring_index(location, ",", 1)
+    return text.empty_to_null(F.regexp_replace(first, r"(?iU)\s*[-–]\s*Budapest\s*$", ""))
+
+
+def calendar_zip(location: Column) -> Column:
+    """The first word of four digits that is a district's postal code."""
+    return F.get(F.filter(places.words(location), lambda w: places.district_from_zip(w).isNotNull()), F.lit(0))

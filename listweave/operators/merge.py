@@ -144,6 +144,15 @@ def fuzzy_titles(rows: DataFrame) -> DataFrame:
     return named.withColumn("fuzzy", F.when(F.coalesce(same, F.lit(False)), F.col("headed")).otherwise(F.col("plain")))
 
 
+def strip_venue_suffix(title: str, venue: str) -> Column:
+    """The title without its last segment if that names the venue."""
+    head, tail = text.separated_tail(title)
+    place = text.normalize_venue(venue)
+    names = (place != "") & head.isNotNull()
+    ratio = similarity.token_set_ratio(F.when(names, text.normalize_venue(tail)), F.when(names, place))
+    return F.when(F.coalesce(ratio >= VENUE_MATCH_RATIO, F.lit(False)), head).otherwise(F.col(title))
+
+
 def comparable(rows: DataFrame) -> DataFrame:
     """(ord, second, known, day, venue, titles...) of listings with a start, as a
     table: what the gates and the title ratio read, and the keys on which two

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from listweave.config import GROUP_DESCRIPTION_TITLES, Settings
 from listweave.functions import text
+from listweave.operators import display
 
 GROUP = ("venue_name", "effective_date", "category")
 
@@ -100,6 +101,21 @@ def filters(categories=None, since=None, until=None, free=False, max_price=None,
     return out
 
 
+def date_range(name: str, today: Column, day: str = "effective_date") -> Column:
+    """The named ranges of the interactive view: all, today, tomorrow, the next
+    seven days (both ends count), and Fridays to Sundays among those."""
+    away = F.date_diff(F.col(day), today)
+    week = away.between(0, 7)
+    named = {"all": F.lit(True), "today": away == 0, "tomorrow": away == 1, "week": week, "weekend": week & (F.weekday(day) >= 4)}
+    return F.coalesce(named[name], F.lit(False))
+
+
+def searched(rows: DataFrame, query: str) -> DataFrame:
+    """Rows whose title, venue or category names hold the query, accents and case aside."""
+    names = F.array_join(F.transform("categories", display.category_label), " ")
+    return rows.filter(text.fold_text(F.concat_ws(" ", "title", "venue_name", names)).contains(text.fold_text(F.lit(query.strip()))))
+
+
 def applied(rows: DataFrame, conditions: dict[str, Column]) -> DataFrame:
     return rows.filter(reduce(lambda a, b: a & b, conditions.values(), F.lit(True)))
 

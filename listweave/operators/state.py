@@ -9,6 +9,8 @@ from listweave.config import DISABLE_AFTER_FAILURES, DISABLE_DAYS, DRIFT_MIN_PRE
 from listweave.functions import similarity
 
 
+#: Runs that the log keeps.
+KEPT_RUNS = 30
 LEDGER = ("id", "t", "d", "s", "u")
 
 
@@ -80,3 +82,8 @@ def health(previous: DataFrame, run: DataFrame, today: Column) -> DataFrame:
         F.coalesce("n", "last_count").alias("last_count"), until.alias("disabled_until"),
         F.coalesce((F.col("n") == 0) & (F.col("last_count") > DRIFT_MIN_PREVIOUS_COUNT), F.lit(False)).alias("drifted"),
     )
+
+
+def kept_runs(log: DataFrame, seq: str, most: int = KEPT_RUNS) -> DataFrame:
+    """The last ``most`` runs of a log; each task hands on no more than that."""
+    return log.orderBy(F.desc(seq)).limit(most)
