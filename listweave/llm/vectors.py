@@ -21,12 +21,15 @@ empty result.
 
 from __future__ import annotations
 
+import functools
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import stash
 from .components import components
@@ -34,11 +37,21 @@ from .components import components
 COSINE = 0.95
 #: Coordinates of a block.
 BLOCK = 8
-#: Vectors that a grid cell should hold; the grid gets more coordinates as the table grows.
-PER_CELL = 2000
-#: Rows of a chunk of a crowded cell, and pairs that are compared at a time.
-CHUNK, PAIRS = 2048, 1 << 18
-MOST_GRID = 4
+#: Rows of a chunk of a crowded cell, pairs whose blocks are compared at a time,
+#: and pairs whose whole vectors are.
+CHUNK, PAIRS, EXACT = 8192, 1 << 18, 1 << 15
+#: What a row in a cell costs, and a pair that meets there (microseconds), and the
+#: share of pairs that stays in neighbouring cells with one more grid coordinate.
+ROW_COST, PAIR_COST, STAYING = 3.0, 0.001, 0.67
+#: Block distances are compared in single precision, with room for its rounding.
+SLACK = 1e-5
+
+
+def grid_of(vectors: int) -> int:
+    """Grid coordinates that cost least for so many vectors: more of them part the
+    pairs, but put each vector into more cells. Results do not depend on it."""
+    cost = lambda g: ROW_COST * (3**g + 1) / 2 + PAIR_COST * vectors / 2 * STAYING**g
+    return min(range(1, BLOCK + 1), key=cost)
 
 
 def rotated(vectors: np.ndarray) -> np.ndarray:
@@ -71,61 +84,88 @@ def forward(grid: int) -> np.ndarray:
     return steps[len(steps) // 2 :]
 
 
+def _flat(vectors: pa.Array) -> np.ndarray:
+    """Vectors of one length as the rows of a matrix."""
+    return vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), -1)
+
+
+_PLACES = T.ArrayType(T.StructType([T.StructField("block", T.IntegerType()), T.StructField("cell", T.LongType()), T.StructField("home", T.BooleanType())]))
+
+
 def places(grid: int):
     """Cells of each vector in every block: (block, cell, at home)."""
 
-    def of(rows: pd.Series) -> pd.Series:
-        out: list = [None] * len(rows)
-        sizes = rows.map(len).to_numpy()
+    def of(vectors: pa.Array) -> pa.Array:
+        sizes = vectors.value_lengths().to_numpy(zero_copy_only=False)
+        found, order = [], []
         for dim in np.unique(sizes):
             picked = np.flatnonzero(sizes == dim)
-            x = rotated(np.stack([rows.iloc[i] for i in picked]).astype(np.float64))
-            parts = []
+            x = rotated(_flat(vectors.take(pa.array(picked))).astype(np.float64))
+            blocks, cells, homes = [], [], []
             for b, (s, budget) in enumerate(zip(block_slices(x.shape[1]), budgets(x.shape[1]))):
-                g = min(grid, s.stop - s.start)
+                g, base = min(grid, s.stop - s.start), 2 * math.ceil(1 / math.sqrt(budget)) + 4
+                while base**g >= 1 << 62:  # a cell's number has to fit
+                    g -= 1
                 cell = np.floor(x[:, s.start : s.start + g] / math.sqrt(budget)).astype(np.int64)
                 for step in forward(g):
                     key = np.zeros(len(x), dtype=np.int64)
                     for k in range(g):
-                        key = key * 4096 + (cell[:, k] + step[k] + 2048)
-                    parts.append([(b, int(k), not step.any()) for k in key])
-            for j, i in enumerate(picked):
-                out[i] = [p[j] for p in parts]
-        return pd.Series(out)
+                        key = key * base + (cell[:, k] + step[k] + base // 2)
+                    cells.append(key)
+                    blocks.append(b)
+                    homes.append(not step.any())
+            n, k = len(x), len(cells)
+            items = pa.StructArray.from_arrays(
+                [pa.array(np.tile(np.array(blocks, dtype=np.int32), n)), pa.array(np.stack(cells, axis=1).ravel()), pa.array(np.tile(np.array(homes), n))], names=["block", "cell", "home"]
+            )
+            found.append(pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * k), items))
+            order.append(picked)
+        if not found:
+            return pa.array([], to_arrow_type(_PLACES))
+        return pa.concat_arrays(found).take(pa.array(np.argsort(np.concatenate(order))))
 
-    return F.pandas_udf(of, "array<struct<block:int,cell:long,home:boolean>>")
+    return F.arrow_udf(of, _PLACES)
 
 
-def _linked(left: pd.DataFrame, right: pd.DataFrame, block: int):
+@functools.lru_cache(maxsize=4)
+def _rotation(dim: int) -> np.ndarray:
+    return rotated(np.eye(dim))
+
+
+def _linked(a: np.ndarray, b: np.ndarray, block: int):
     """(i, j) of the pairs that link here: within the block's budget, in no
     earlier block's, and with a sufficient cosine."""
-    a, b = (np.stack(x["vector"].to_numpy()).astype(np.float64) for x in (left, right))
-    ra, rb = rotated(a), rotated(b)
-    slices, most = block_slices(ra.shape[1]), budgets(ra.shape[1])
-    s = slices[block]
+    a, b, turn = a.astype(np.float64), b.astype(np.float64), _rotation(a.shape[1])
+    slices, most = block_slices(turn.shape[1]), budgets(turn.shape[1])
     norm_a, norm_b = np.sqrt((a * a).sum(axis=1)), np.sqrt((b * b).sum(axis=1))
-    square_b = (rb[:, s] ** 2).sum(axis=1)
+    x, y = ((v / n[:, None] @ turn[:, slices[block]]) for v, n in ((a, norm_a), (b, norm_b)))
+    # one product gives the squared distances: (x, x.x, 1) times (-2 y, 1, y.y)
+    left = np.column_stack([x, (x * x).sum(axis=1), np.ones(len(x))]).astype(np.float32)
+    right = np.column_stack([-2 * y, np.ones(len(y)), (y * y).sum(axis=1)]).astype(np.float32).T
+    bound = np.float32(most[block] + SLACK)
     step = max(1, PAIRS // len(b))
     for at in range(0, len(a), step):
-        x = ra[at : at + step, s]
-        rough = (x**2).sum(axis=1)[:, None] + square_b[None, :] - 2 * (x @ rb[:, s].T)
-        i, j = np.nonzero(rough <= most[block] + 1e-9)
-        i += at
-        cosine = np.einsum("ij,ij->i", a[i], b[j]) / (norm_a[i] * norm_b[j])
-        good = cosine >= COSINE
-        i, j = i[good], j[good]
-        difference = (ra[i] - rb[j]) ** 2
-        near = np.stack([difference[:, t].sum(axis=1) <= m for t, m in zip(slices[: block + 1], most)], axis=1)
-        first = near[:, block] & ~near[:, :block].any(axis=1)
-        yield i[first], j[first]
-
-
-def _cell(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        close = np.flatnonzero(left[at : at + step] @ right <= bound)
+        for k in range(0, len(close), EXACT):
+            i, j = np.divmod(close[k : k + EXACT], len(b))
+            i += at
+            good = np.einsum("ij,ij->i", a[i], b[j]) / (norm_a[i] * norm_b[j]) >= COSINE
+            i, j = i[good], j[good]
+            if not len(i):
+                continue
+            difference = (rotated(a[i]) - rotated(b[j])) ** 2
+            near = np.stack([difference[:, t].sum(axis=1) <= m for t, m in zip(slices[: block + 1], most)], axis=1)
+            first = near[:, block] & ~near[:, :block].any(axis=1)
+            yield i[first], j[first]
+
+
+def _cell(key: tuple, rows: pa.Table) -> pa.Table:
     """Links counted and joined within one chunk of a cell."""
-    block = int(key[1])
-    left, right = rows[rows["is_left"]].reset_index(drop=True), rows[rows["is_right"]].reset_index(drop=True)
-    names, inverse = np.unique(np.concatenate([left["rep"], right["rep"]]), return_inverse=True)
-    na, nb = inverse[: len(left)], inverse[len(left) :]
+    block = key[1].as_py()
+    is_left, is_right, home, copies, reps = (rows.column(c).to_numpy() for c in ("is_left", "is_right", "home", "copies", "rep"))
+    is_left, is_right = np.flatnonzero(is_left), np.flatnonzero(is_right)
+    names, inverse = np.unique(reps, return_inverse=True)
+    na, nb = inverse[is_left], inverse[is_right]
     counts, parent = np.zeros(len(names), dtype=np.int64), np.arange(len(names))
 
     def find(k):
@@ -134,20 +174,21 @@ def _cell(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
             k = parent[k]
         return k
 
-    if len(left) and len(right):
-        ca, cb = left["copies"].to_numpy(), right["copies"].to_numpy()
-        home = left["home"].to_numpy()
-        for i, j in _linked(left, right, block):
+    if len(na) and len(nb):
+        vectors, ca, cb, home = _flat(rows.column("vector").combine_chunks()), copies[is_left], copies[is_right], home[is_left]
+        for i, j in _linked(vectors[is_left], vectors[is_right], block):
             good = ~home[i] | (na[i] < nb[j])  # both at home: each pair once
             i, j = i[good], j[good]
-            counts += np.bincount(na[i], weights=cb[j], minlength=len(names)).astype(np.int64)
-            counts += np.bincount(nb[j], weights=ca[i], minlength=len(names)).astype(np.int64)
+            np.add.at(counts, na[i], cb[j])
+            np.add.at(counts, nb[j], ca[i])
             for x, y in np.unique(np.stack([parent[na[i]], parent[nb[j]]], axis=1), axis=0) if len(i) else ():
                 x, y = find(x), find(y)
                 if x != y:
                     parent[max(x, y)] = min(x, y)
     met = np.flatnonzero(counts)
-    return pd.DataFrame({"rep": names[met], "links": counts[met], "root": names[[find(k) for k in met]] if len(met) else names[:0]})
+    roots = names[[find(k) for k in met]] if len(met) else names[:0]
+    kind = rows.schema.field("rep").type
+    return pa.table({"rep": pa.array(names[met], kind), "links": pa.array(counts[met]), "root": pa.array(roots, kind)})
 
 
 def near_duplicates(table: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -157,8 +198,7 @@ def near_duplicates(table: DataFrame, key: str = "vec_id", vector: str = "embedd
     sound = F.coalesce(vec.isNotNull() & finite & F.exists(vec, lambda x: x != 0) & F.col(key).isNotNull(), F.lit(False))
     rows = table.select(key, F.when(sound, vec).alias("vector"))
     classes = stash(rows.filter("vector is not null").groupBy("vector").agg(F.min(key).alias("rep"), F.count("*").alias("copies")), "vectors")
-    n = classes.count()
-    grid = int(min(MOST_GRID, max(1, round(math.log(max(n, 1) / PER_CELL, 4.5)))))
+    grid = grid_of(classes.count())
     dealt = classes.select("rep", "copies", "vector", F.size("vector").alias("dim"), F.explode(places(grid)("vector")).alias("p")).select("rep", "copies", "vector", "dim", "p.*")
     cell = ["dim", "block", "cell"]
     sizes = dealt.groupBy(*cell).agg(F.count("*").alias("n"), F.max("home").alias("lived_in"), F.count("*").alias("rows"))
@@ -174,7 +214,7 @@ def near_duplicates(table: DataFrame, key: str = "vec_id", vector: str = "embedd
     )
     chunked = placed.select("rep", "copies", "vector", *cell, "home", F.explode(F.concat(as_left, as_right)).alias("c")).select("rep", "copies", "vector", *cell, "home", "c.*")
     kind = dict(table.dtypes)[key]
-    found = stash(chunked.groupBy(*cell, "lc", "rc").applyInPandas(_cell, f"rep {kind}, links long, root {kind}"), "links")
+    found = stash(chunked.groupBy(*cell, "lc", "rc").applyInArrow(_cell, f"rep {kind}, links long, root {kind}"), "links")
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     joined = components(found.filter("rep <> root").select(F.col("rep").alias("a"), F.col("root").alias("b")))
     known = classes.join(links, "rep", "left").join(joined.select(F.col("node").alias("rep"), "component"), "rep", "left")

@@ -318,3 +318,25 @@ def test_vectors_equal_brute_force(spark):
     assert all(found[k] == (0, k) for k in (900, 901, 902, 903)) and found[904] == (1, 904) and found[905] == (1, 904)
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert vectors.near_duplicates(empty).count() == 0
+
+
+def test_vectors_of_several_lengths_and_grids(spark, monkeypatch):
+    """Links do not depend on the grid, on chunks, or on other lengths in the table."""
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(40, 24))
+    near = np.concatenate([base + rng.normal(size=base.shape) * 0.1 * k for k in range(4)])
+    odd = rng.normal(size=(20, 5))
+    data = [(k, v.astype(np.float32).tolist()) for k, v in enumerate([*near, *odd, *(odd + 0.02)])]
+    unit = [np.array(v) / np.linalg.norm(v) for _, v in data]
+    links = {k: sum(len(u) == len(w) and j != k and float(u @ w) >= vectors.COSINE for j, w in enumerate(unit)) for k, u in enumerate(unit)}
+    assert sum(links.values()) > 100
+    table = spark.createDataFrame(data, "vec_id long, embedding array<float>")
+    for grid, chunk in ((1, 16), (3, 8192)):
+        monkeypatch.setattr(vectors, "grid_of", lambda n, g=grid: g)
+        monkeypatch.setattr(vectors, "CHUNK", chunk)
+        assert {r.vec_id: r.n_links for r in vectors.near_duplicates(table).collect()} == links
+
+
+def test_grid_grows_with_the_table():
+    assert [vectors.grid_of(n) for n in (0, 1000, 10**6, 10**7, 10**9)] == sorted(vectors.grid_of(n) for n in (0, 1000, 10**6, 10**7, 10**9))
+    assert vectors.grid_of(1000) == 1 and vectors.grid_of(10**7) > 3
