@@ -10,13 +10,18 @@ on. Rare postings come first: two classes that agree in 16 coordinates must
 meet in the rarest ``shared - 15`` of each (the prefix), so the long postings are skipped and only looked up for pairs
 that met. Retained pairs are confirmed on the full sets.
 
+Before that a sketch sorts out pairs that cannot link: each shingle flips one of
+``SKETCH`` bits, so two sketches differ in no more bits than the sets in
+shingles, and two sets of together n shingles that link differ in at most
+n * (100 - similarity) / (100 + similarity) of them. No link fails this.
+
 A posting is not expanded into pairs. First each of its classes is compared with
 its smallest, and so are classes that agree in a whole band of coordinates;
 confirmed links form components. Then only classes of different components are
 compared, and a posting's largest component only with the rest. A class that is
 still open there counts its shingles that no other open class holds: they are in
 no intersection, which bounds the similarity of every pair from above, and pairs
-below the bound never arise. So no link between components is lost, copies cost
+below the bound, or whose sketches differ too much, never arise. So no link between components is lost, copies cost
 nothing, and a large group of near copies costs its size.
 
 Defined results: null, empty and wordless texts have an empty set and link with
@@ -28,11 +33,13 @@ from __future__ import annotations
 
 import hashlib
 import math
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import stash
@@ -48,6 +55,8 @@ SIMILARITY, STAGE_SIMILARITY = 85, 80
 #: The share of pairs at the very similarity that may agree in too few coordinates.
 MISSED = 2e-6
 MEMORY = 150_000
+#: Bits of a sketch; sets that differ in many more shingles all look alike to it.
+SKETCH = 1024
 _RNG = np.random.default_rng(20240607)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MULTIPLIERS = _RNG.integers(1, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -108,6 +117,12 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def sketch(found: np.ndarray) -> list[int]:
+    """Each of ``SKETCH`` bits as 64-bit words: is it hit by an odd number of shingles?"""
+    hit = np.bincount((found * _BASE >> np.uint64(32)).astype(np.int64) % SKETCH, minlength=SKETCH) & 1
+    return np.packbits(hit.astype(np.uint8)).view(np.int64).tolist()
+
+
 def _described(texts: pd.Series) -> pd.DataFrame:
     out = []
     texts = texts.where(texts.notna(), None).tolist()
@@ -115,13 +130,13 @@ def _described(texts: pd.Series) -> pd.DataFrame:
         sets = [shingles(t) for t in texts[at : at + 256]]
         full = [s for s in sets if len(s)]
         rows = iter(signatures(full).tolist() if full else [])
-        out += [(len(s), hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest() if len(s) else None, next(rows) if len(s) else None) for s in sets]
-    return pd.DataFrame(out, columns=["n_shingles", "set_key", "signature"])
+        out += [(len(s), hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest() if len(s) else None, next(rows) if len(s) else None, sketch(s) if len(s) else None) for s in sets]
+    return pd.DataFrame(out, columns=["n_shingles", "set_key", "signature", "sketch"])
 
 
 def described(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n_shingles, set_key, signature) of every row."""
-    udf = F.pandas_udf(_described, "n_shingles long, set_key string, signature array<long>")
+    """(key, n_shingles, set_key, signature, sketch) of every row."""
+    udf = F.pandas_udf(_described, "n_shingles long, set_key string, signature array<long>, sketch array<long>")
     return docs.select(key, udf(F.col(text)).alias("_d")).select(key, "_d.*")
 
 
@@ -148,11 +163,17 @@ def _similar(similarity: int):
     return F.pandas_udf(of, "boolean")
 
 
+def _may_link(similarity: int, a: str = "ka", b: str = "kb", na: str = "na", nb: str = "nb") -> Column:
+    """Do the sketches differ in no more bits than two sets that link in shingles?"""
+    differing = reduce(add, [F.bit_count(F.col(a)[k].bitwiseXOR(F.col(b)[k])) for k in range(SKETCH // 64)])
+    return differing * (100 + similarity) <= (F.col(na) + F.col(nb)) * (100 - similarity)
+
+
 def _retained(pairs: DataFrame, reps: DataFrame, similarity: int) -> DataFrame:
-    """Pairs whose signatures agree in enough coordinates."""
-    of = lambda x: reps.select(F.col("rep").alias(x), F.col("signature").alias(f"s{x}"))
+    """Pairs whose signatures agree in enough coordinates, and their sketches in enough bits."""
+    of = lambda x: reps.select(F.col("rep").alias(x), F.col("n_shingles").alias(f"n{x}"), F.col("signature").alias(f"s{x}"), F.col("sketch").alias(f"k{x}"))
     same = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
-    return pairs.join(of("a"), "a").join(of("b"), "b").filter(same >= matches(similarity)).select("a", "b")
+    return pairs.join(of("a"), "a").join(of("b"), "b").filter((same >= matches(similarity)) & _may_link(similarity)).select("a", "b")
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str, similarity: int) -> DataFrame:
@@ -184,7 +205,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     classes = stash(rows.filter(F.col("set_key").isNotNull() & F.col(key).isNotNull()).groupBy("set_key").agg(F.min(key).alias("rep"), F.count("*").alias("_n")), "classes")
     copies = classes.filter("_n > 1").select("set_key", "rep")
     placed = stash(rows.join(copies, "set_key", "left").withColumn("rep", F.coalesce("rep", F.when(F.col("set_key").isNotNull(), F.col(key)))), "classes")
-    reps = placed.filter(F.col(key) == F.col("rep")).select("rep", "n_shingles", "signature")
+    reps = placed.filter(F.col(key) == F.col("rep")).select("rep", "n_shingles", "signature", "sketch")
 
     post = reps.select("rep", "n_shingles", F.posexplode("signature").alias("k", "v")).select("rep", "n_shingles", F.xxhash64("k", "v").alias("post"))
     lengths = stash(post.groupBy("post").agg(F.count("*").alias("n")).filter("n > 1"), "postings")
@@ -210,13 +231,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     open_rows = stash(grouped.join(mixed_posts, "post"), "open")
     own = _own_shingles(open_rows.select("rep").distinct(), docs, key, text)
     bounded = open_rows.join(own, "rep", "left").withColumn("common", F.col("n_shingles") - F.coalesce("own", F.lit(0)))
-    open_rows = stash(bounded.filter(100 * F.col("common") >= similarity * F.col("n_shingles")), "open")
-    strays = open_rows.filter("component <> home").select("post", F.col("rep").alias("a"), F.col("component").alias("ca"), F.col("n_shingles").alias("na"), F.col("common").alias("ma"))
-    others = open_rows.select("post", F.col("rep").alias("b"), F.col("component").alias("cb"), F.col("n_shingles").alias("nb"), F.col("common").alias("mb"), (F.col("component") == F.col("home")).alias("at_home"))
+    bounded = bounded.filter(100 * F.col("common") >= similarity * F.col("n_shingles"))
+    open_rows = stash(bounded.join(reps.select("rep", "n_shingles", "sketch"), ["rep", "n_shingles"]), "open")
+    strays = open_rows.filter("component <> home").select("post", F.col("rep").alias("a"), F.col("component").alias("ca"), F.col("n_shingles").alias("na"), F.col("common").alias("ma"), F.col("sketch").alias("ka"))
+    others = open_rows.select("post", F.col("rep").alias("b"), F.col("component").alias("cb"), F.col("n_shingles").alias("nb"), F.col("common").alias("mb"), F.col("sketch").alias("kb"), (F.col("component") == F.col("home")).alias("at_home"))
     across = (
         strays.join(others, "post")
         .filter((F.col("ca") != F.col("cb")) & (F.col("at_home") | (F.col("a") < F.col("b"))))
         .filter(100 * F.least("ma", "mb") >= similarity * (F.col("na") + F.col("nb") - F.least("ma", "mb")))
+        .filter(_may_link(similarity))
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct()
     )

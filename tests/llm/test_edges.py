@@ -340,3 +340,43 @@ def test_vectors_of_several_lengths_and_grids(spark, monkeypatch):
 def test_grid_grows_with_the_table():
     assert [vectors.grid_of(n) for n in (0, 1000, 10**6, 10**7, 10**9)] == sorted(vectors.grid_of(n) for n in (0, 1000, 10**6, 10**7, 10**9))
     assert vectors.grid_of(1000) == 1 and vectors.grid_of(10**7) > 3
+
+
+def test_sketches_differ_in_no_more_bits_than_sets_in_shingles():
+    rng = random.Random(3)
+    for size in (1, 30, 400, 5000):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(size + 4)]
+        other = [w if rng.random() > 0.02 else "changed" for w in words]
+        a, b = (minhash.shingles(" ".join(x)) for x in (words, other))
+        bits = sum(((x ^ y) & (1 << 64) - 1).bit_count() for x, y in zip(minhash.sketch(a), minhash.sketch(b)))
+        assert bits <= np.setxor1d(a, b).size
+
+
+def test_a_large_group_of_near_copies_makes_few_pairs(spark, monkeypatch):
+    """300 edited copies of one text, many of them no link of each other: only
+    pairs that are about to link are looked at, and no link is lost."""
+    rng = random.Random(8)
+    base = [f"w{k}" for k in range(150)]
+    texts = []
+    for _ in range(300):
+        words = list(base)
+        for k in rng.sample(range(150), rng.choice([2, 3, 3, 4])):
+            words[k] = f"x{rng.randrange(10**6)}"
+        texts.append(" ".join(words))
+    sets = [set(minhash.shingles(t).tolist()) for t in texts]
+    links = [(i, j) for i in range(300) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])]
+    root = list(range(300))
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for i, j in links:
+        x, y = find(i), find(j)
+        root[max(x, y)] = min(x, y)
+    looked_at, confirmed = [], minhash._confirmed
+    monkeypatch.setattr(minhash, "_confirmed", lambda pairs, *a: looked_at.append(pairs.count()) or confirmed(pairs, *a))
+    found = minhash.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in found} == {k: find(k) for k in range(300)}
+    assert looked_at[-1] <= 3 * len(links) + 300 < 300 * 299 / 4
