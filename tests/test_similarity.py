@@ -33,3 +33,33 @@ def test_join_finds_every_pair(spark):
         found = {(r.d, r.a, r.b) for r in similarity.similar(*frames, threshold, ["d"]).collect()}
         on = lambda side, d: [t for t in side if len(t) % 2 or d == 1]
         assert found == {(d, a, b) for d in (1, 2) for a in on(left, d) for b in on(right, d) if similarity.ratio(a, b) >= threshold}
+
+
+def test_no_bound_is_worked_out_at_every_meeting(spark):
+    """Texts that share several words meet on each of them; the costly bound reads
+    a table of distinct pairs."""
+    pairs = spark.createDataFrame([("a b", "a c")] * 5, "ka string, kb string")
+    once = similarity._once(pairs)
+    plan = similarity.rated(once, 80.0)._jdf.queryExecution().optimizedPlan().toString()
+    assert once.count() == 1 and "Aggregate" not in plan and "Join" not in plan
+
+
+def test_the_bounds_lose_no_pair(spark):
+    """Every pair that reaches the threshold passes the bounds by bits at a key it
+    shares, also where a key is dealt out in parts and whichever way texts recur."""
+    left, right = texts(5, 200), texts(6, 200)
+    frame = lambda side: spark.createDataFrame([(t,) for t in side], "text string").select(similarity.canonical("text").alias("key")).filter("key <> ''").distinct()
+    keep, similarity.HEAVY = similarity.HEAVY, 8
+    try:
+        for threshold in (80.0, 92.0):
+            found = {tuple(r) for r in similarity._candidates(frame(left), frame(right), threshold, []).collect()}
+            keys = lambda side: {" ".join(sorted(set(t.split()))) for t in side} - {""}
+            assert {(a, b) for a in keys(left) for b in keys(right) if similarity.ratio(a, b) >= threshold} <= found
+    finally:
+        similarity.HEAVY = keep
+
+
+def test_grouping_follows_the_cost(spark):
+    few = spark.createDataFrame([(d, f"t{k}") for d in range(9) for k in range(5)], "d int, key string")
+    many = spark.createDataFrame([(d, f"t{d}x{k}") for d in range(9) for k in range(5)], "d int, key string")
+    assert similarity._grouped(few, few, ["d"]) == [] and similarity._grouped(many, many, ["d"]) == ["d"]
