@@ -192,34 +192,61 @@ def start_pairs(rows: DataFrame, on: str | None = None) -> DataFrame:
     return _gated(met).select(F.col("ord_a").alias("a"), F.col("ord_b").alias("b"))
 
 
-def fuzzy_pairs(table: DataFrame, floor: float = TITLE_AMBIGUOUS_RATIO) -> DataFrame:
+def spelled(table: DataFrame, forms: bool) -> DataFrame:
+    """(spelling, fuzzy, plain, headed), one row per distinct spelling of a title
+    in ``comparable`` rows; without ``forms`` the fuzzy title alone tells them apart."""
+    columns = ["fuzzy", "plain", "headed"] if forms else ["fuzzy"]
+    return stash(table.filter("fuzzy IS NOT NULL").select(*columns).distinct().withColumn("spelling", F.monotonically_increasing_id()), "spellings")
+
+
+def alike_spellings(spellings: DataFrame, floor: float, forms: bool) -> DataFrame:
+    """(spelling_a, spelling_b, ratio, reach) of the ``spelled`` titles that come to
+    ``floor``; each pair of distinct titles is rated once, however many listings
+    bear them."""
+    any_form = F.explode(F.array_distinct(F.filter(F.array("plain", "headed"), lambda t: t.isNotNull()))) if forms else F.col("fuzzy")
+    of = spellings.select("spelling", "fuzzy", any_form.alias("text"))
+    near = similarity.similar(of.select("text"), of.select("text"), floor).select(F.col("a").alias("text_a"), F.col("b").alias("text_b"), "ratio")
+    side = lambda n: of.select(*[F.col(c).alias(f"{c}_{n}") for c in of.columns])
+    met = side("a").join(near, "text_a").join(side("b"), "text_b")
+    own = F.when((F.col("text_a") == F.col("fuzzy_a")) & (F.col("text_b") == F.col("fuzzy_b")), F.col("ratio"))
+    pairs = met.groupBy("spelling_a", "spelling_b").agg(F.max(own).alias("ratio"), F.max("ratio").alias("reach"))
+    return stash(pairs, "alike")
+
+
+def _by_meetings(rows: DataFrame, *keys: str) -> DataFrame:
+    """Over all partitions: what meets on the keys is much more than their bytes."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
+def fuzzy_pairs(table: DataFrame, floor: float = TITLE_AMBIGUOUS_RATIO, forms: bool = True) -> DataFrame:
     """(a, b, ratio, reach), a before b, of the rows of ``comparable`` that pass
     the start and the venue gate and whose titles come to ``floor``. ``ratio`` is
     that of the fuzzy titles (null below the floor), ``reach`` the best of any of
-    their forms: a venue that a merge fills in can only choose among them.
-
-    Two listings with venues meet by similar venue and time; similar venues are
-    found among the distinct ones, and titles are rated once per distinct pair.
-    Where a venue is missing they meet by time and a key that similar titles share.
-    No key gathers a day or all listings without a venue."""
-    form = lambda plain, headed: F.explode(F.array_distinct(F.filter(F.array(plain, headed), lambda t: t.isNotNull())))
+    their forms: a venue that a merge fills in can only choose among them. Without
+    ``forms`` only the fuzzy titles are compared.
+
+    Similar venues and similar titles are found among the distinct ones. Two
+    listings with venues meet by similar venue and time, and a look-up of their two
+    spellings settles the pair; where a venue is missing they meet by time and
+    similar spelling. Two listings meet on one key at most, so no pair is made
+    twice, and no text is carried along. No key gathers a day or all listings
+    without a venue."""
     places = table.filter("tokens <> '' AND venue_name IS NOT NULL").select(F.col("tokens").alias("text")).distinct()
     venues = stash(similarity.similar(places, places, VENUE_MATCH_RATIO), "venues").select(F.col("a").alias("tokens_a"), F.col("b").alias("tokens_b"))
-    columns = ["ord_a", "ord_b", "fuzzy_a", "fuzzy_b", "form_a", "form_b"]
+    spellings = spelled(table, forms)
+    alike = alike_spellings(spellings, floor, forms)
+    named = reduce(lambda x, y: x & y, [table[c].eqNullSafe(spellings[c]) for c in spellings.columns if c != "spelling"])
+    rows = stash(table.join(spellings, named).select(*[table[c] for c in ("ord", "second", "known", "at", "to", "tokens", "venue_name")], "spelling"), "placed")
 
-    a, b = _sides(table.filter("venue_name IS NOT NULL"), "tokens", "fuzzy", "plain", "headed")
-    met = _gated(a.join(venues, "tokens_a").join(b, ["meet", "tokens_b"])).withColumn("form_a", form("plain_a", "headed_a"))
-    spelled = stash(met.withColumn("form_b", form("plain_b", "headed_b")).select(*columns), "spelled")
-    alike = similarity.rated_texts(spelled.select(F.col("form_a").alias("a"), F.col("form_b").alias("b")).distinct(), floor)
-    found = spelled.join(alike.select(F.col("a").alias("form_a"), F.col("b").alias("form_b"), "ratio"), ["form_a", "form_b"]).select(*columns, "ratio")
+    found = ["ord_a", "ord_b", "ratio", "reach"]
+    a, b = _sides(rows.filter("venue_name IS NOT NULL"), "tokens", "spelling")
+    placed = _gated(_by_meetings(a.join(venues, "tokens_a"), "meet", "tokens_b").join(b, ["meet", "tokens_b"])).select("ord_a", "ord_b", "spelling_a", "spelling_b")
+    pairs = placed.join(alike, ["spelling_a", "spelling_b"]).select(*found)
 
-    a, b = _sides(table.withColumn("form", form("plain", "headed")), "venue_name", "fuzzy", "form")
+    a, b = _sides(rows, "venue_name", "spelling")
     for left, right in ((a.filter("venue_name_a IS NULL"), b), (a.filter("venue_name_a IS NOT NULL"), b.filter("venue_name_b IS NULL"))):
-        texts = [side.select("meet", F.col(f"form_{n}").alias("text")) for side, n in ((left, "a"), (right, "b"))]
-        alike = similarity.similar(*texts, floor, ["meet"]).select("meet", F.col("a").alias("form_a"), F.col("b").alias("form_b"), "ratio")
-        found = found.unionByName(_gated(left.join(alike, ["meet", "form_a"]).join(right, ["meet", "form_b"])).select(*columns, "ratio"))
-    own = F.when((F.col("form_a") == F.col("fuzzy_a")) & (F.col("form_b") == F.col("fuzzy_b")), F.col("ratio"))
-    return found.groupBy(F.col("ord_a").alias("a"), F.col("ord_b").alias("b")).agg(F.max(own).alias("ratio"), F.max("ratio").alias("reach"))
+        pairs = pairs.unionByName(_gated(_by_meetings(left.join(alike, "spelling_a"), "meet", "spelling_b").join(right, ["meet", "spelling_b"])).select(*found))
+    return pairs.withColumnsRenamed({"ord_a": "a", "ord_b": "b"})
 
 
 def _first_matches(rows: Iterator[tuple]) -> Iterator[tuple]:
@@ -260,7 +287,7 @@ def fuzzy_clusters(rows: DataFrame, settings: Settings) -> DataFrame:
     fold, so connected listings are taken through one task in their order, as a
     stream with their neighbours; components share nothing and run apart."""
     table = comparable(rows)
-    edges = stash(fuzzy_pairs(table).filter(F.col("reach") >= TITLE_MERGE_RATIO).select("a", "b"), "similar")
+    edges = stash(fuzzy_pairs(table, TITLE_MERGE_RATIO).select("a", "b"), "similar")
     of = clusters(edges)
     near = edges.groupBy(F.col("b").alias("ord")).agg(F.collect_list("a").alias("near"))
     least = rows.select("ord", F.array_min(F.transform("source_ids", lambda s: priority(settings, s))).alias("priority"))

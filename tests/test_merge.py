@@ -156,3 +156,19 @@ def test_start_pairs_equal_brute_force(spark, similar_rows):
     want = {(i, j) for j in range(len(rows)) for i in range(j) if same(rows[i], rows[j])}
     found = [(r.a, r.b) for r in merge.start_pairs(similar_rows).collect()]
     assert len(found) == len(set(found)) and set(found) == want
+
+
+def test_titles_are_rated_once_however_many_listings_bear_them(spark, similar_rows):
+    """Pairs of listings look their ratio up by spelling: as many are rated as there
+    are distinct titles, and no pair of listings comes twice."""
+    n = 60
+    many = [(k, ["Jazz est", "Jazz estek", "Nagy Réka trio"][k % 3], "A38", dt.datetime(2024, 1, 1, 19, k % 30), True, ["s0"]) for k in range(n)]
+    table = merge.comparable(spark.createDataFrame(many, LISTING))
+    spellings = merge.spelled(table, forms=False)
+    assert spellings.count() == 3 and merge.alike_spellings(spellings, 80.0, forms=False).count() <= 9
+    found = [(r.a, r.b) for r in merge.fuzzy_pairs(table, forms=False).collect()]
+    want = {(i, j) for j in range(n) for i in range(j) if similarity.ratio(normal(many[i][1]), normal(many[j][1])) >= 80}
+    assert len(found) == len(set(found)) and set(found) == want
+    table = merge.comparable(similar_rows)
+    of = lambda forms: {(r.a, r.b): r.ratio for r in merge.fuzzy_pairs(table, forms=forms).filter("ratio IS NOT NULL").collect()}
+    assert of(False) == of(True)
