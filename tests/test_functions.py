@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from listweave.config import Settings
 from listweave.functions import places, prices, text, timeparse
+from listweave.operators import normalize
 
 
 def one(spark, value, column, kind="string"):
@@ -73,3 +74,19 @@ def test_settings_refuse_unknown_keys():
     for bad in ({"scoringg": {}}, {"scoring": {"free_bonuss": 1}}, {"filters": {"geo": {"town": "x"}}}, {"categories": {"a": {"keyword": {}}}}):
         with pytest.raises(ValueError, match="unknown configuration keys"):
             Settings.from_mapping(bad)
+
+
+def test_descriptions_by_their_first_words(spark):
+    """Cleaning a description by its first words alone gives what the whole text
+    gives; texts whose start does not decide go the whole way. Dropped rows are
+    only described where asked for."""
+    words = lambda n, gap: gap.join(f"szó{k}" for k in range(n))
+    odd = [None, "", "  \n ", "x" * 700, "x" * 450 + " " + "y" * 700, words(9, " "), words(300, " "), words(300, "\n"), words(300, "  \t "), words(300, "        "), "a &amp; b " + words(300, " "), words(300, " ") + " &amp;", "  " + words(120, " "), "&" * 900]
+    rows = [(k, t, at) for k, t in enumerate(odd) for at in ("2024-01-11", "2023-01-11", None)]
+    empty = ("source_id", "title", "venue_name", "url", "native_category", "image_url", "end_raw", "price_raw", "city", "postal_code", "address_raw", "district_raw")
+    raw = spark.createDataFrame(rows, "ord long, description string, start_raw string").withColumns({n: F.lit(None).cast("string") for n in empty} | {n: F.lit(None).cast("double") for n in ("lat", "lon")})
+    of = lambda every: [(r.ord, r.drop_reason, r.description) for r in normalize.normalized(raw, Settings(), F.lit(dt.datetime(2024, 1, 10)).cast("timestamp_ntz"), describe_dropped=every).collect()]
+    plain = {r.k: r.d for r in spark.createDataFrame(list(enumerate(odd)), "k long, t string").select("k", text.clean_description("t", 400).alias("d")).collect()}
+    assert of(True) == [(k, reason, plain[k]) for (k, _, _), (_, reason, _) in zip(rows, of(True), strict=True)]
+    assert {reason for _, reason, _ in of(True)} == {None, "dropped_past", "unparseable_start"}
+    assert of(False) == [(k, reason, plain[k] if reason is None else None) for k, reason, _ in of(True)]
