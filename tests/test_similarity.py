@@ -63,3 +63,22 @@ def test_grouping_follows_the_cost(spark):
     few = spark.createDataFrame([(d, f"t{k}") for d in range(9) for k in range(5)], "d int, key string")
     many = spark.createDataFrame([(d, f"t{d}x{k}") for d in range(9) for k in range(5)], "d int, key string")
     assert similarity._grouped(few, few, ["d"]) == [] and similarity._grouped(many, many, ["d"]) == ["d"]
+
+
+def test_one_match_is_enough(spark):
+    """The texts with any match are those of the whole join, and texts that hold one
+    of the other side, less up to two words, are settled without being compared."""
+    left, right = texts(7, 150), texts(8, 60)
+    frames = [spark.createDataFrame([(d, t) for t in side for d in (1, 2) if len(t) % 2 or d == 1] + [(1, None)], "d int, text string") for side in (left, right)]
+    for threshold in (80.0, 92.0):
+        want = {(r.d, r.a) for r in similarity.similar(*frames, threshold, ["d"]).collect()}
+        rows = similarity.with_similar(*frames, threshold, ["d"]).collect()
+        assert len(rows) == len(want) and {(r.d, r.a) for r in rows} == want
+    compared, whole = [], similarity.similar
+    try:
+        similarity.similar = lambda a, b, *rest: compared.extend(r.text for r in a.collect()) or whole(a, b, *rest)
+        some = spark.createDataFrame([("a b c d | e",), ("b a",), ("a c b",), ("q",)], "text string")
+        found = similarity.with_similar(some, spark.createDataFrame([("d c b a",), ("a b",)], "text string"), 92.0).collect()
+    finally:
+        similarity.similar = whole
+    assert {r.a for r in found} == {"a b c d | e", "b a", "a c b"} and compared == ["q"]
