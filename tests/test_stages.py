@@ -9,7 +9,7 @@ from urllib.parse import urljoin
 from pyspark.sql import functions as F
 
 from listweave.config import Settings
-from listweave.functions import text
+from listweave.functions import places, text, timeparse
 from listweave.operators import assist, rank, sources, state
 
 
@@ -95,3 +95,25 @@ def test_batches_beyond_the_limit_are_planned_but_not_called(spark):
     plan = assist.batch_plan(asked, cache, Settings(assist_batch_size=2, assist_max_calls=1)).collect()
     assert sorted((r.ord, r.batch, r.called) for r in plan) == [(0, 0, True), (2, 0, True), (4, 1, False), (6, 1, False), (8, 2, False)]
     assert all(re.fullmatch("[0-9a-f]{64}", r.content_hash) for r in plan)
+
+
+def test_shared_texts_are_shortened_before_they_are_told(spark):
+    """Shortened once, a text gives every listing the description that the whole one gives."""
+    rng = random.Random(4)
+    pieces = ["word", " ", "  \n", "\t", "&amp;", "&lt;b", "x" * 90, " " * 300, " ", "&"]
+    rows = ["".join(rng.choices(pieces, k=rng.choice([3, 60, 900]))) for _ in range(150)] + ["", None, " " * 5000, "y" * 5000, " a \n" * 3000]
+    frame = spark.createDataFrame([(r, ahead) for r in rows for ahead in ("", "Jazz  koncert ")], "d string, ahead string").withColumn("e", text.shortened("d", 40))
+    told = lambda c: text.clean_description(F.concat("ahead", F.col(c)), 40)
+    assert all(r.whole == r.short for r in frame.select(told("d").alias("whole"), told("e").alias("short")).collect())
+    assert frame.filter("d like ' a %'").select(F.max(F.length("e"))).first()[0] < 200
+
+
+def test_only_digits_are_cast(spark):
+    """A text that a cast refuses costs an error with its message, in every row."""
+    texts = ["", "Z", "05", "7", None, "x1"]
+    rows = spark.createDataFrame([(t,) for t in texts], "v string")
+    assert [r.n for r in rows.select(timeparse._num(F.col("v")).alias("n")).collect()] == [0, 0, 5, 7, 0, 0]
+    cast = str(timeparse._num(F.col("v")))
+    assert "RLIKE" in cast.upper() and cast.upper().index("RLIKE") < cast.upper().index("CAST")
+    zips = spark.createDataFrame([("Fo utca 12, 1117 Budapest",), ("utca",), ("12345 1a23 9999",)], "a string")
+    assert [r.z for r in zips.select(places.first_zip("a").alias("z")).collect()] == ["1117", None, "9999"]
