@@ -8,9 +8,10 @@ from urllib.parse import urljoin
 
 from pyspark.sql import functions as F
 
+from listweave import catalog, testview
 from listweave.config import Settings
 from listweave.functions import places, text, timeparse
-from listweave.operators import assist, rank, sources, state
+from listweave.operators import assist, normalize, rank, sources, state
 
 
 def test_descriptions_are_cut_as_if_cleaned_whole(spark):
@@ -117,3 +118,31 @@ def test_only_digits_are_cast(spark):
     assert "RLIKE" in cast.upper() and cast.upper().index("RLIKE") < cast.upper().index("CAST")
     zips = spark.createDataFrame([("Fo utca 12, 1117 Budapest",), ("utca",), ("12345 1a23 9999",)], "a string")
     assert [r.z for r in zips.select(places.first_zip("a").alias("z")).collect()] == ["1117", None, "9999"]
+
+
+def test_only_wanted_rows_are_normalized(spark):
+    """Scoring reads kept rows and the ledger's; the others lose all but their dates
+    before the parsers, and the filter that drops them repeats no date parser."""
+    rows = testview.raw(spark, "/root/testdata/sf0.001", 400)
+    wanted = F.expr("drop_reason IS NULL OR ord % 11 = 0")
+    some, every = (normalize.normalized(rows, testview.SETTINGS, testview.literal_timestamp(), describe_dropped=False, wanted=w) for w in (wanted, None))
+    assert sorted(map(str, some.collect())) == sorted(map(str, every.filter(wanted).collect()))
+    parsed = some._jdf.queryExecution().optimizedPlan().toString()
+    assert parsed.count("convert_timezone") == 2  # start and end
+    table = catalog._offered(spark, "/root/testdata/sf0.001")
+    assert 0 < table.filter("drop_reason IS NULL").count() < table.count() == every.filter("drop_reason IS NULL OR (ord % 11 = 0 AND id IS NOT NULL)").count()
+
+
+def test_long_dates_are_taken_apart_once(spark):
+    """The words of a long date are split once and its month is usually found as written."""
+    texts = ["2024. január 05., szombat 10:30", "2024. JANUÁR  5., szombat 9:05", "2024. December 31., x 23:59", "2024. foo 05., x 10:30", "2024. január 05., szombat 10:3", "2024. január 55., x 10:30"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(timeparse.parse_datetime("t", "Europe/Budapest").alias("x"))
+    day = lambda *a: dt.datetime(2024, *a)
+    assert [r.x.ts for r in rows.collect()] == [day(1, 5, 10, 30), day(1, 5, 9, 5), day(12, 31, 23, 59), None, None, None]
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("split(") <= 2
+
+
+def test_district_words_in_any_case(spark):
+    texts = ["XI. kerület", "xi. KERÜLET", "11. Kerület", "XI. ker", "XI. Ker.", "XI. utca", "ix", "XI. kerüLET"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(places.normalize_district("t").alias("d"))
+    assert [r.d for r in rows.collect()] == ["XI.", "XI.", "XI.", "XI.", "XI.", None, "IX.", "XI."]
