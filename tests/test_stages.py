@@ -133,6 +133,16 @@ def test_only_wanted_rows_are_normalized(spark):
     assert 0 < table.filter("drop_reason IS NULL").count() < table.count() == every.filter("drop_reason IS NULL OR (ord % 11 = 0 AND id IS NOT NULL)").count()
 
 
+def test_a_run_counts_all_raw_listings(spark):
+    """Also those that neither scoring nor the ledger reads."""
+    folder = "/root/testdata/sf0.001"
+    rows = testview.raw(spark, folder)
+    reasons = normalize.dated(rows, testview.SETTINGS, testview.literal_timestamp()).groupBy("drop_reason").count().collect()
+    counts = catalog.QUERIES["fork_views"](spark, folder).first()
+    assert counts["raw"] == rows.count() == spark.read.parquet(f"{folder}/events.parquet").count()
+    assert counts["dropped_as_past"] == dict(reasons)["dropped_past"] > 0
+
+
 def test_long_dates_are_taken_apart_once(spark):
     """The words of a long date are split once and its month is usually found as written."""
     texts = ["2024. január 05., szombat 10:30", "2024. JANUÁR  5., szombat 9:05", "2024. December 31., x 23:59", "2024. foo 05., x 10:30", "2024. január 05., szombat 10:3", "2024. január 55., x 10:30"]
