@@ -180,6 +180,35 @@ def test_passages_with_many_edits(spark):
     assert found == want
 
 
+def test_seeds_are_shuffled_in_few_bytes():
+    """Ids of any sign come back, and a seed with its place takes half of three longs in a row."""
+    rng = np.random.default_rng(1)
+    seed, doc = np.sort(rng.integers(0, 1 << 40, 50_000)), rng.integers(-300, 300, 50_000)
+    raw = passages.packed(seed, doc, doc + (1 << 40), np.zeros(50_000, np.int32))
+    for got, want in zip(passages.unpacked(raw, 4), (seed, doc, doc + (1 << 40), np.zeros(50_000))):
+        assert (got == want).all()
+    assert len(passages.packed(seed, doc, rng.integers(0, 20_000, 50_000))) < 9 * 50_000
+    extremes = np.array([-(1 << 63), -1, 0, (1 << 63) - 1])
+    assert [c.tolist() for c in passages.unpacked(passages.packed(extremes, extremes[::-1]), 2)] == [extremes.tolist(), extremes[::-1].tolist()]
+    assert [len(c) for c in passages.unpacked(passages.packed(seed[:0], doc[:0]), 2)] == [0, 0]
+
+
+def test_corners_of_a_chain_align_alike():
+    """A chain in order needs no tree, and its corners align as all its matches do."""
+    rng = random.Random(3)
+    for _ in range(20):
+        words = rng.choices(range(40), k=400)
+        x = np.array(words[:150] + rng.choices(range(40), k=rng.randint(0, 9)) + words[150:])
+        at = [i for i in range(0, 140, rng.randint(1, 4))]
+        matches = at + [i + len(x) - 400 for i in range(160, 380)], at + list(range(160, 380))
+        (here, there), = [c for c in passages.chains(*map(np.array, matches)) if len(c[0]) > 100]
+        assert (here.tolist(), there.tolist()) == matches
+        few = passages._corners(here, there)
+        assert len(few[0]) < len(here)
+        for a, b in zip(passages.columns(x, np.array(words), *few), passages.columns(x, np.array(words), here, there)):
+            assert (a == b).all()
+
+
 def brute_words(texts):
     """Which words lie in 50 that an earlier text holds word by word."""
     seen, out = set(), []
