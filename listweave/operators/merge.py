@@ -153,24 +153,30 @@ def strip_venue_suffix(title: str, venue: str) -> Column:
     return F.when(F.coalesce(ratio >= VENUE_MATCH_RATIO, F.lit(False)), head).otherwise(F.col(title))
 
 
-def comparable(rows: DataFrame) -> DataFrame:
-    """(ord, second, known, day, venue, titles...) of listings with a start, as a
-    table: what the gates and the title ratio read, and the keys on which two
-    listings within the start gate meet. ``at`` are the keys of the earlier one in
-    input order, ``to`` those of the other. Clocks meet in bins as wide as the gap,
-    the earlier one in its own and both neighbours; a listing without a clock
-    meets the other's day, and two clocks never meet by day."""
-    second = F.unix_seconds(F.col("start").cast("timestamp"))
-    known = F.coalesce("start_time_known", F.lit(False))
-    out = fuzzy_titles(rows).filter("start IS NOT NULL").select(
-        "ord", second.alias("second"), known.alias("known"), F.col("start").cast("date").cast("string").alias("day"), "venue_name",
-        text.venue_tokens("venue_name").alias("tokens"), "plain", "headed", "tail", "venue", "fuzzy",
-    )
+def timed(rows: DataFrame) -> DataFrame:
+    """``rows`` with a start: its ``second`` and ``day``, whether the clock is ``known``,
+    and the keys on which two listings within the start gate meet. ``at`` are the keys
+    of the earlier one in input order, ``to`` those of the other. Clocks meet in bins as
+    wide as the gap, the earlier one in its own and both neighbours; a listing without a
+    clock meets the other's day, and two clocks never meet by day."""
+    out = rows.filter("start IS NOT NULL").withColumns({
+        "second": F.unix_seconds(F.col("start").cast("timestamp")),
+        "known": F.coalesce("start_time_known", F.lit(False)),
+        "day": F.col("start").cast("date").cast("string"),
+    })
     bin_ = F.floor(F.col("second") / _BIN)
     key = lambda kind, value: F.concat(F.lit(kind), value.cast("string"))
     at = F.when(F.col("known"), F.array(*[key("k", bin_ + k) for k in (-1, 0, 1)], key("v", F.col("day")))).otherwise(F.array(key("u", F.col("day"))))
     to = F.when(F.col("known"), F.array(key("k", bin_), key("u", F.col("day")))).otherwise(F.array(key("u", F.col("day")), key("v", F.col("day"))))
-    return stash(out.withColumns({"at": at, "to": to}), "comparable")
+    return out.withColumns({"at": at, "to": to})
+
+
+def comparable(rows: DataFrame) -> DataFrame:
+    """(ord, second, known, day, venue, titles..., at, to) of ``timed`` listings, as a
+    table: what the gates and the title ratio read."""
+    return stash(timed(fuzzy_titles(rows)).select(
+        "ord", "second", "known", "day", "venue_name", text.venue_tokens("venue_name").alias("tokens"), "plain", "headed", "tail", "venue", "fuzzy", "at", "to",
+    ), "comparable")
 
 
 def _sides(rows: DataFrame, *columns: str) -> tuple[DataFrame, DataFrame]:
@@ -186,9 +192,13 @@ def _gated(pairs: DataFrame) -> DataFrame:
 def start_pairs(rows: DataFrame, on: str | None = None) -> DataFrame:
     """(a, b), a before b, of all listings within the start gate: both clocks
     known and at most 90 minutes apart, or else the same day. ``on`` names a
-    column in which they agree besides."""
-    a, b = _sides(comparable(rows) if on is None else comparable(rows).join(rows.select("ord", F.col(on).alias("on")), "ord"), *(["on"] if on else []))
-    met = a.join(b.withColumnRenamed("on_b", "on_a"), ["meet", "on_a"]) if on else a.join(b, "meet")
+    column in which they agree besides. Of the listings only the times and that
+    column are read, and neither side is sent whole to every task: its files may be
+    small where its rows are many."""
+    a, b = _sides(timed(rows), *([on] if on else []))
+    keys = {"meet": "meet"} | ({f"{on}_a": f"{on}_b"} if on else {})
+    b = b.withColumnsRenamed({theirs: ours for ours, theirs in keys.items()})
+    met = _by_meetings(a, *keys).join(b.hint("merge"), list(keys))
     return _gated(met).select(F.col("ord_a").alias("a"), F.col("ord_b").alias("b"))
 
 

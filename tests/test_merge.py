@@ -8,6 +8,7 @@ import pytest
 
 from listweave.functions import similarity
 from listweave.operators import merge
+from listweave.tables import stash
 from listweave.testview import SETTINGS
 
 SCHEMA = "ord long, cluster long, source_ids array<string>, urls array<string>, native_categories array<string>, id string, title string, start string, start_time_known boolean, effective_date string, description string, `end` string, venue_name string, city string, district string, price_min long, price_max long, is_free boolean, lat double, lon double, distance_km double"
@@ -158,6 +159,17 @@ def test_start_pairs_equal_brute_force(spark, similar_rows):
     assert len(found) == len(set(found)) and set(found) == want
 
 
+def test_the_start_gate_sends_no_side_to_every_task(similar_rows, spark):
+    """Whatever the sizes of the files: the rows behind them may fill a driver."""
+    table = stash(similar_rows.select("ord", "venue_name", "start", "start_time_known"), "few")
+    pairs = merge.start_pairs(table, "venue_name")
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "title" not in plan
+    venue = {r.ord: r.venue_name for r in similar_rows.collect()}
+    want = [(r.a, r.b) for r in merge.start_pairs(similar_rows).collect() if venue[r.a] is not None and venue[r.a] == venue[r.b]]
+    assert sorted((r.a, r.b) for r in pairs.collect()) == sorted(want) and want
+
+
 def test_titles_are_rated_once_however_many_listings_bear_them(spark, similar_rows):
     """Pairs of listings look their ratio up by spelling: as many are rated as there
     are distinct titles, and no pair of listings comes twice."""
